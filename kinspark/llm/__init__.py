@@ -1 +1 @@
-
+"""Operators for preparing training data."""
