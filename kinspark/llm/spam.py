@@ -35,7 +35,7 @@ from kinspark.functions.identity import strip
 from kinspark.session import durable
 
 #: Characters per block: for redundancy, for the decision, and there in a short text.
-WIDE, NARROW, SHORTEST = 400, 220, 64
+WIDE, NARROW, SHORTEST = 400, 220, 90
 #: Robust standard deviations below the median from which a block is extreme.
 EXTREME = -3.0
 ORDINARY = -1.5
@@ -110,7 +110,7 @@ def stuffed_share(text: str, lang: str, norms, stuffed: bytes, ordinary: bytes)
         if len(e) < 8:
             continue
         total += len(e)
-        if saving(e, stuffed, ordinary) > MARGIN or (deviation(e, lang, norms) < EXTREME and sentence_density(block) < FEW_STOPS):
+        if saving(e, stuffed, ordinary) > MARGIN + 5 / len(e) or (deviation(e, lang, norms) < EXTREME and sentence_density(block) < FEW_STOPS):
             hit += len(e)
     return hit / total if total else 0.0
 
