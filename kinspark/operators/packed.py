@@ -31,6 +31,10 @@ from kinspark.session import durable
 
 MAX_ATOMS = 4
 ROUNDS = 3
+#: How many times oftener a name must stand first than later to be a value of a list.
+HEADED = 2.0
+#: In what part of its occurrences a name may stand before the same next one in a list.
+COMPANY = 0.03
 #: Opening quotation mark -> closing one.
 QUOTES = {'"': '"', "'": "'", "“": "”", "«": "»", "„": "“", "‘": "’"}
 #: Kinds of delimiters, the first that matches counts.
@@ -48,6 +52,7 @@ DELIMITERS = [
     ("number", r"\s+(?=\(?[0-9]{1,2}\)\s)"),
     ("comma", r"\s*,\s*"),
 ]
+KINDS = [*(k for k, _ in DELIMITERS), "level"]
 _DELIM = re.compile("|".join(f"(?P<{k}>{p})" for k, p in DELIMITERS), re.I)
 _WITHIN = re.compile(r"\s*[/&]\s*|\s+and\s+")
 _NUMBER = re.compile(r"\(?([0-9]{1,3})[).]\s*")
@@ -57,9 +62,10 @@ HINT = r"""[;|\t\n→+/&"“«„‘]|->|=>|(?i:\sand\s)|^\s*'|\s\(?[0-9]{1,2}\)
 _CHAR_COST = math.log(40.0)
 
 
-def atoms(text: str) -> tuple[list[tuple[int, int]], list[str], list[bool]]:
+def atoms(text: str, levels: bool = False) -> tuple[list[tuple[int, int]], list[str], list[bool]]:
     """Spans of the atoms, the kind of delimiter after each but the last, and
-    whether each is a quoted span."""
+    whether each is a quoted span. A comma is a delimiter beside quoted spans, and
+    with ``levels`` everywhere."""
     spans, kinds, marks = [], [], []
     start, at, end = 0, 0, len(text)
     quoted_before = False
@@ -87,7 +93,7 @@ def atoms(text: str) -> tuple[list[tuple[int, int]], list[str], list[bool]]:
                 at = stop + 1
         m = None
         for m in _DELIM.finditer(text, at):
-            if m.lastgroup != "comma" or quoted or (m.end() < end and text[m.end()] in QUOTES and quoted_before):
+            if m.lastgroup != "comma" or levels or quoted or (m.end() < end and text[m.end()] in QUOTES and quoted_before):
                 break
             m = None
         if m is None:
@@ -95,7 +101,8 @@ def atoms(text: str) -> tuple[list[tuple[int, int]], list[str], list[bool]]:
             return spans, kinds, [*marks, quoted]
         spans.append((start, m.start()))
         marks.append(quoted)
-        kinds.append(m.lastgroup)
+        beside = quoted or (m.end() < end and text[m.end()] in QUOTES)
+        kinds.append("level" if m.lastgroup == "comma" and not beside else m.lastgroup)
         quoted_before = quoted
         start = at = m.end()
 
@@ -141,10 +148,10 @@ def edges(text: str, spans: list[tuple[int, int]], quoted: list[bool]) -> list[t
     return out
 
 
-def _weights(text: str, lps, cut: dict[str, tuple[float, float]]):
+def _weights(text: str, levels: bool, lps, cut: dict[str, tuple[float, float]]):
     """The lattice of a text: spans, kinds, and edges with their log weight, which
     is that of their parts, of the delimiters kept within, and of the cut after."""
-    spans, kinds, quoted = atoms(text)
+    spans, kinds, quoted = atoms(text, levels)
     es = edges(text, spans, quoted)
     sums, heads, sides = [0.0] * len(es), [0.0] * len(es), [0.0] * len(es)
     for x in lps:
@@ -188,18 +195,18 @@ def posteriors(n: int, es) -> list[float]:
 def _lattices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for t, n in zip(pdf["text"], pdf["n"]):
-            spans, _, quoted = atoms(t)
-            out += [(t, n, k, x) for k, (_, _, known) in enumerate(edges(t, spans, quoted)) for x in known or [""]]
-        yield pd.DataFrame(out, columns=["text", "n", "k", "part"])
+        for t, n, levels in zip(pdf["text"], pdf["n"], pdf["levels"]):
+            spans, _, quoted = atoms(t, levels)
+            out += [(t, n, levels, k, x) for k, (_, _, known) in enumerate(edges(t, spans, quoted)) for x in known or [""]]
+        yield pd.DataFrame(out, columns=["text", "n", "levels", "k", "part"])
 
 
 def _expect(cut):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for text, n, lps in zip(pdf["text"], pdf["n"], pdf["lps"]):
-                spans, kinds, es = _weights(text, lps, cut)
+            for text, n, levels, lps in zip(pdf["text"], pdf["n"], pdf["levels"], pdf["lps"]):
+                spans, kinds, es = _weights(text, levels, lps, cut)
                 for (i, j, known, _), p in zip(es, posteriors(len(spans), es)):
                     out += [("v", x, text, n * p) for x in known]
                     if j - 1 < len(kinds):
@@ -216,8 +223,8 @@ def _decide(cut):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for text, lps in zip(pdf["text"], pdf["lps"]):
-                spans, _, es = _weights(text, lps, cut)
+            for text, levels, lps in zip(pdf["text"], pdf["levels"], pdf["lps"]):
+                spans, _, es = _weights(text, levels, lps, cut)
                 values = unnumbered([text[spans[i][0] : spans[j - 1][1]].strip(_EDGE) for i, j in viterbi(len(spans), es)])
                 out.append((text, [c for v in values if (c := clean(v))]))
             yield pd.DataFrame(out, columns=["text", "vals"])
@@ -232,42 +239,74 @@ def _plain_parts(c: Column) -> Column:
     return F.array_compact(marked)
 
 
+def _listed(distinct: DataFrame, known: DataFrame) -> DataFrame:
+    """The texts whose commas may separate values: each of their parts is better
+    known as a head, and their first two parts hardly ever meet otherwise (a place
+    keeps company with its next level)."""
+    level = F.substring("part", 3, 1 << 30).alias("x")
+    heads = known.filter("part like 'h:%'").select(level, F.col("c").alias("h"))
+    tails = known.filter("part like 't:%'").select(level, F.col("c").alias("t"))
+    headed = heads.join(tails, "x", "left").filter(F.col("h") >= HEADED * F.coalesce("t", F.lit(0.0)) + 1).select("x", "h")
+    plain = distinct.filter("not hint and size(parts) > 1")
+    rows = plain.select("text", F.size("parts").alias("m"), F.explode("parts").alias("part")).select("text", "m", level)
+    every = rows.join(headed, "x").groupBy("text", "m").agg(F.count("*").alias("k")).filter("k = m").select("text")
+    first = F.substring(F.element_at("parts", 1), 3, 1 << 30)
+    pairs = plain.select("text", "n", first.alias("x"), F.element_at("parts", 2).alias("second"))
+    met = pairs.groupBy("x", "second").agg(F.sum("n").alias("met")).join(headed, "x").filter(F.col("met") <= 2 + COMPANY * F.col("h"))
+    alone = pairs.join(met, ["x", "second"], "left_semi").select("text")
+    return durable(plain.join(every, "text", "left_semi").join(alone, "text", "left_semi"))
+
+
+def _scored(lattice: DataFrame, known: DataFrame) -> DataFrame:
+    """The texts with the log probabilities of the parts of their edges. Parts
+    never seen share the mass of those seen once, by their letters."""
+    size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
+    total, new = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
+    letters = F.length(F.regexp_replace("part", r"^[hts]:|\s+and\s+|[^\p{L}\p{N}]", ""))
+    unseen = F.lit(math.log(new)) - letters * F.lit(_CHAR_COST) - F.lit(2.0)
+    seen = F.when(F.col("c").isNull(), unseen).otherwise(F.log(F.col("c") + F.exp(unseen)))
+    lp = F.when(F.col("part") == "", F.lit(0.0)).otherwise(seen - F.lit(math.log(total + new)))
+    return (
+        lattice.join(known, "part", "left")
+        .select("text", "n", "levels", F.struct("k", F.substring("part", 1, 1).alias("what"), lp.alias("lp")).alias("e"))
+        .groupBy("text", "n", "levels")
+        .agg(F.collect_list("e").alias("lps"))
+    )
+
+
+def _counted(distinct: DataFrame) -> DataFrame:
+    parts = distinct.select("n", F.explode("parts").alias("part"))
+    return durable(parts.groupBy("part").agg(F.sum("n").cast("double").alias("c")))
+
+
 def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``(text, vals)`` of every distinct text that could hold several values;
     ``vals`` has one entry where it turns out to hold one."""
     distinct = texts.filter(strip(F.col(col)) != "").groupBy(F.col(col).alias("text")).agg(F.count("*").alias("n"))
-    distinct = durable(distinct.withColumn("hint", F.col("text").rlike(HINT)))
-    plain = durable(
-        distinct.filter("not hint").select("n", F.explode(_plain_parts(F.col("text"))).alias("part")).groupBy("part").agg(F.sum("n").cast("double").alias("c"))
-    )
-    lattice = durable(distinct.filter("hint").select("text", "n").mapInPandas(_lattices, "text string, n bigint, k int, part string"))
-    known = plain
-    cut = {k: (math.log(0.5), math.log(0.5)) for k, _ in DELIMITERS}
-
-    def scored() -> DataFrame:
-        # Values never seen share the mass of those seen once, by their letters.
-        size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
-        total, new = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
-        letters = F.length(F.regexp_replace("part", r"^[hts]:|\s+and\s+|[^\p{L}\p{N}]", ""))
-        unseen = F.lit(new) * F.exp(-letters * F.lit(_CHAR_COST) - F.lit(2.0))
-        lp = F.when(F.col("part") == "", F.lit(0.0)).otherwise(
-            F.when(F.col("c").isNull(), F.lit(math.log(new)) - letters * F.lit(_CHAR_COST) - F.lit(2.0)).otherwise(F.log(F.col("c") + unseen)) - F.lit(math.log(total + new))
-        )
-        return (
-            lattice.join(known, "part", "left")
-            .select("text", "n", F.struct("k", F.substring("part", 1, 1).alias("what"), lp.alias("lp")).alias("e"))
-            .groupBy("text", "n")
-            .agg(F.collect_list("e").alias("lps"))
-        )
+    hint = F.col("text").rlike(HINT)
+    distinct = durable(distinct.withColumn("hint", hint).withColumn("parts", F.when(~F.col("hint"), _plain_parts(F.col("text")))))
+    plain = _counted(distinct.filter("not hint"))
+
+    def lattice_of(some: DataFrame, levels: bool) -> DataFrame:
+        return durable(some.select("text", "n", F.lit(levels).alias("levels")).mapInPandas(_lattices, "text string, n bigint, levels boolean, k int, part string"))
 
-    for _ in range(rounds):
-        seen = scored().mapInPandas(_expect(cut), "what string, part string, c double, texts bigint")
+    lattice = lattice_of(distinct.filter("hint"), False)
+    known = plain
+    cut = {k: (math.log(0.5), math.log(0.5)) for k in KINDS}
+    for at in range(rounds):
+        seen = _scored(lattice, known).mapInPandas(_expect(cut), "what string, part string, c double, texts bigint")
         got = durable(seen.groupBy("what", "part").agg(F.sum("c").alias("c"), F.sum("texts").alias("texts")))
         rate = {(r["what"], r["part"]): r["c"] for r in got.filter("what <> 'v'").collect()}  # two rows per kind of delimiter
-        for k, _ in DELIMITERS:
+        for k in KINDS:
             p = (rate.get(("cut", k), 0.0) + 0.5) / (rate.get(("all", k), 0.0) + 1.0)
             p = min(max(p, 1e-6), 1 - 1e-6)
             cut[k] = (math.log(p), math.log(1 - p))
+        if at == 0:
+            # Now values are known from packed fields too: lists by comma join the lattice.
+            values = plain.unionByName(got.filter("what = 'v' and c >= 0.5").select("part", "c")).groupBy("part").agg(F.sum("c").alias("c"))
+            listed = _listed(distinct, values)
+            lattice = durable(lattice.unionByName(lattice_of(listed, True)))
+            plain = _counted(distinct.filter("not hint").join(listed.select("text"), "text", "left_anti"))
         # What a single text alone supports is no evidence for that text.
         known = durable(
             plain.withColumn("texts", F.lit(2))
@@ -277,7 +316,7 @@ def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> D
             .filter("texts > 1")
             .drop("texts")
         )
-    return durable(scored().mapInPandas(_decide(cut), "text string, vals array<string>"))
+    return durable(_scored(lattice, known).mapInPandas(_decide(cut), "text string, vals array<string>"))
 
 
 def packed_places(event_records: DataFrame) -> DataFrame:
@@ -285,8 +324,4 @@ def packed_places(event_records: DataFrame) -> DataFrame:
     more, repeated deliveries counted once."""
     rows = event_records.filter("event_id is not null and place is not null").select("event_id", "place").distinct()
     split = packed_texts(rows, "place").filter(F.size("vals") > 1)
-    return (
-        rows.filter(F.col("place").rlike(HINT))
-        .join(split, F.col("place") == F.col("text"))
-        .select("event_id", F.posexplode("vals").alias("pos", "val"))
-    )
+    return rows.join(split, F.col("place") == F.col("text")).select("event_id", F.posexplode("vals").alias("pos", "val"))
