@@ -22,15 +22,15 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinspark.functions.identity import strip
 from kinspark.session import durable
 
-MAX_ATOMS = 4
-ROUNDS = 3
+MAX_ATOMS = 3
+ROUNDS = 2
 #: How many times oftener a name must stand first than later to be a value of a list.
 HEADED = 2.0
 #: In what part of its occurrences a name may stand before the same next one in a list.
@@ -59,6 +59,7 @@ _NUMBER = re.compile(r"\(?([0-9]{1,3})[).]\s*")
 _EDGE = " \t\r\n\f\v\u00a0\ufeff\u2007\u202f\u3000"
 #: A text without any of these holds one value and needs no lattice.
 HINT = r"""[;|\t\n→+/&"“«„‘]|->|=>|(?i:\sand\s)|^\s*'|\s\(?[0-9]{1,2}\)\s"""
+_NO_LETTER = re.compile(r"\s+and\s+|[\W_]")
 _CHAR_COST = math.log(40.0)
 
 
@@ -148,20 +149,22 @@ def edges(text: str, spans: list[tuple[int, int]], quoted: list[bool]) -> list[t
     return out
 
 
-def _weights(text: str, levels: bool, lps, cut: dict[str, tuple[float, float]]):
+def _weights(text: str, levels: bool, known: dict[tuple[int, int], float], new: float, cut: dict[str, tuple[float, float]]):
     """The lattice of a text: spans, kinds, and edges with their log weight, which
-    is that of their parts, of the delimiters kept within, and of the cut after."""
+    is that of their parts, of the delimiters kept within, and of the cut after.
+    ``known`` holds the log probability of the parts that are known, by edge and
+    place in the edge; others share the mass ``new`` by their letters."""
     spans, kinds, quoted = atoms(text, levels)
-    es = edges(text, spans, quoted)
-    sums, heads, sides = [0.0] * len(es), [0.0] * len(es), [0.0] * len(es)
-    for x in lps:
-        (sums, heads, sides)["ths".index(x["what"] or "t")][x["k"]] += x["lp"]
-    # A misspelt name that holds a delimiter is still known by its sides.
-    sums = [t + (max(h, s) if s else h) for t, h, s in zip(sums, heads, sides)]
     out = []
-    for (i, j, known), lp in zip(es, sums):
-        w = lp + sum(cut[k][1] for k in kinds[i : j - 1]) + (cut[kinds[j - 1]][0] if j - 1 < len(kinds) else 0.0)
-        out.append((i, j, known, w))
+    for k, (i, j, values) in enumerate(edges(text, spans, quoted)):
+        sums = {"t": 0.0, "h": 0.0, "s": 0.0}
+        for m, x in enumerate(values):
+            lp = known.get((k, m))
+            sums[x[0]] += new - 2.0 - _CHAR_COST * len(_NO_LETTER.sub("", x[2:])) if lp is None else lp
+        # A misspelt name that holds a delimiter is still known by its sides.
+        w = sums["t"] + (max(sums["h"], sums["s"]) if sums["s"] else sums["h"])
+        w += sum(cut[q][1] for q in kinds[i : j - 1]) + (cut[kinds[j - 1]][0] if j - 1 < len(kinds) else 0.0)
+        out.append((i, j, values, w))
     return spans, kinds, out
 
 
@@ -192,42 +195,72 @@ def posteriors(n: int, es) -> list[float]:
     return [math.exp(min(0.0, fwd[i] + w + bwd[j] - fwd[n])) for i, j, _, w in es]
 
 
-def _lattices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for t, n, levels in zip(pdf["text"], pdf["n"], pdf["levels"]):
-            spans, _, quoted = atoms(t, levels)
-            out += [(t, n, levels, k, x) for k, (_, _, known) in enumerate(edges(t, spans, quoted)) for x in known or [""]]
-        yield pd.DataFrame(out, columns=["text", "n", "levels", "k", "part"])
-
-
-def _expect(cut):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text, n, levels, lps in zip(pdf["text"], pdf["n"], pdf["levels"], pdf["lps"]):
-                spans, kinds, es = _weights(text, levels, lps, cut)
-                for (i, j, known, _), p in zip(es, posteriors(len(spans), es)):
-                    out += [("v", x, text, n * p) for x in known]
+_PART = pa.schema([("id", pa.int64()), ("k", pa.int32()), ("m", pa.int32()), ("part", pa.string())])
+_COUNT = pa.schema([("what", pa.string()), ("part", pa.string()), ("c", pa.float64()), ("texts", pa.int64())])
+_VALS = pa.schema([("text", pa.string()), ("vals", pa.list_(pa.string()))])
+
+
+def _lattices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: list[list] = [[], [], [], []]
+        for key, text, levels in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "levels"))):
+            spans, _, quoted = atoms(text, levels)
+            for k, (_, _, values) in enumerate(edges(text, spans, quoted)):
+                for m, x in enumerate(values):
+                    out[0].append(key), out[1].append(k), out[2].append(m), out[3].append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PART)], schema=_PART)
+
+
+def _open_texts(batch: pa.RecordBatch):
+    """The texts of a batch with what is known of their parts."""
+    lists = batch.column("e").combine_chunks() if isinstance(batch.column("e"), pa.ChunkedArray) else batch.column("e")
+    offsets = lists.offsets.to_numpy()
+    flat = lists.values
+    k, m, lp = (flat.field(c).to_pylist() for c in ("k", "m", "lp"))
+    empty = lists.is_null().to_pylist()
+    for r, (text, n, levels) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "n", "levels")))):
+        a, b = (0, 0) if empty[r] else (offsets[r], offsets[r + 1])
+        yield text, n, levels, dict(zip(zip(k[a:b], m[a:b]), lp[a:b]))
+
+
+def _expect(new: float, cut):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total: dict[tuple[str, str], list] = {}
+
+            def add(what: str, part: str, c: float, texts: int) -> None:
+                t = total.setdefault((what, part), [0.0, 0])
+                t[0] += c
+                t[1] += texts
+
+            for text, n, levels, known in _open_texts(batch):
+                spans, kinds, es = _weights(text, levels, known, new, cut)
+                own: dict[str, float] = {}
+                for (_, j, values, _), p in zip(es, posteriors(len(spans), es)):
+                    for x in values if p > 1e-4 else ():
+                        own[x] = own.get(x, 0.0) + n * p
                     if j - 1 < len(kinds):
-                        out.append(("cut", kinds[j - 1], text, n * p))
-                out += [("all", k, text, float(n)) for k in kinds]
-            per_text = pd.DataFrame(out, columns=["what", "part", "text", "c"]).groupby(["what", "part", "text"], as_index=False)["c"].sum()
-            per_text["texts"] = (per_text["c"] > 0.05).astype("int64")
-            yield per_text.groupby(["what", "part"], as_index=False)[["c", "texts"]].sum()
+                        add("cut", kinds[j - 1], n * p, 0)
+                for x, c in own.items():
+                    add("v", x, c, int(c > 0.05))
+                for q in kinds:
+                    add("all", q, float(n), 0)
+            rows = [(a, b, c, t) for (a, b), (c, t) in total.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_COUNT)], schema=_COUNT)
 
     return run
 
 
-def _decide(cut):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text, levels, lps in zip(pdf["text"], pdf["levels"], pdf["lps"]):
-                spans, _, es = _weights(text, levels, lps, cut)
+def _decide(new: float, cut):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, vals = [], []
+            for text, _, levels, known in _open_texts(batch):
+                spans, _, es = _weights(text, levels, known, new, cut)
                 values = unnumbered([text[spans[i][0] : spans[j - 1][1]].strip(_EDGE) for i, j in viterbi(len(spans), es)])
-                out.append((text, [c for v in values if (c := clean(v))]))
-            yield pd.DataFrame(out, columns=["text", "vals"])
+                texts.append(text)
+                vals.append([c for v in values if (c := clean(v))])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(vals, pa.list_(pa.string()))], schema=_VALS)
 
     return run
 
@@ -257,21 +290,14 @@ def _listed(distinct: DataFrame, known: DataFrame) -> DataFrame:
     return durable(plain.join(every, "text", "left_semi").join(alone, "text", "left_semi"))
 
 
-def _scored(lattice: DataFrame, known: DataFrame) -> DataFrame:
-    """The texts with the log probabilities of the parts of their edges. Parts
-    never seen share the mass of those seen once, by their letters."""
+def _scored(open_texts: DataFrame, lattice: DataFrame, known: DataFrame) -> tuple[DataFrame, float]:
+    """The texts with the log probabilities of those parts of their edges that are
+    known, and the log mass of parts never seen (that of the parts seen once)."""
     size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
-    total, new = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
-    letters = F.length(F.regexp_replace("part", r"^[hts]:|\s+and\s+|[^\p{L}\p{N}]", ""))
-    unseen = F.lit(math.log(new)) - letters * F.lit(_CHAR_COST) - F.lit(2.0)
-    seen = F.when(F.col("c").isNull(), unseen).otherwise(F.log(F.col("c") + F.exp(unseen)))
-    lp = F.when(F.col("part") == "", F.lit(0.0)).otherwise(seen - F.lit(math.log(total + new)))
-    return (
-        lattice.join(known, "part", "left")
-        .select("text", "n", "levels", F.struct("k", F.substring("part", 1, 1).alias("what"), lp.alias("lp")).alias("e"))
-        .groupBy("text", "n", "levels")
-        .agg(F.collect_list("e").alias("lps"))
-    )
+    total, once = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
+    lp = F.log("c") - F.lit(math.log(total + once))
+    of_text = lattice.join(known, "part").select("id", F.struct("k", "m", lp.alias("lp")).alias("e")).groupBy("id").agg(F.collect_list("e").alias("e"))
+    return open_texts.join(of_text, "id", "left").select("text", "n", "levels", "e"), math.log(once) - math.log(total + once)
 
 
 def _counted(distinct: DataFrame) -> DataFrame:
@@ -284,17 +310,22 @@ def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> D
     ``vals`` has one entry where it turns out to hold one."""
     distinct = texts.filter(strip(F.col(col)) != "").groupBy(F.col(col).alias("text")).agg(F.count("*").alias("n"))
     hint = F.col("text").rlike(HINT)
-    distinct = durable(distinct.withColumn("hint", hint).withColumn("parts", F.when(~F.col("hint"), _plain_parts(F.col("text")))))
+    distinct = distinct.withColumn("hint", hint).withColumn("parts", F.when(~F.col("hint"), _plain_parts(F.col("text"))))
+    # Written once, so the ids stay what they are.
+    distinct = durable(distinct.withColumn("id", F.monotonically_increasing_id()))
     plain = _counted(distinct.filter("not hint"))
 
-    def lattice_of(some: DataFrame, levels: bool) -> DataFrame:
-        return durable(some.select("text", "n", F.lit(levels).alias("levels")).mapInPandas(_lattices, "text string, n bigint, levels boolean, k int, part string"))
+    def lattice_of(some: DataFrame) -> DataFrame:
+        return durable(some.select("id", "text", "levels").mapInArrow(_lattices, "id bigint, k int, m int, part string"))
 
-    lattice = lattice_of(distinct.filter("hint"), False)
+    columns = ["id", "text", "n"]
+    open_texts = distinct.filter("hint").select(*columns, F.lit(False).alias("levels"))
+    lattice = lattice_of(open_texts)
     known = plain
     cut = {k: (math.log(0.5), math.log(0.5)) for k in KINDS}
     for at in range(rounds):
-        seen = _scored(lattice, known).mapInPandas(_expect(cut), "what string, part string, c double, texts bigint")
+        scored, new = _scored(open_texts, lattice, known)
+        seen = scored.mapInArrow(_expect(new, cut), "what string, part string, c double, texts bigint")
         got = durable(seen.groupBy("what", "part").agg(F.sum("c").alias("c"), F.sum("texts").alias("texts")))
         rate = {(r["what"], r["part"]): r["c"] for r in got.filter("what <> 'v'").collect()}  # two rows per kind of delimiter
         for k in KINDS:
@@ -305,8 +336,10 @@ def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> D
             # Now values are known from packed fields too: lists by comma join the lattice.
             values = plain.unionByName(got.filter("what = 'v' and c >= 0.5").select("part", "c")).groupBy("part").agg(F.sum("c").alias("c"))
             listed = _listed(distinct, values)
-            lattice = durable(lattice.unionByName(lattice_of(listed, True)))
-            plain = _counted(distinct.filter("not hint").join(listed.select("text"), "text", "left_anti"))
+            more = listed.select(*columns, F.lit(True).alias("levels"))
+            open_texts, lattice = open_texts.unionByName(more), lattice.unionByName(lattice_of(more))
+            lost = listed.select((-F.col("n")).alias("n"), F.explode("parts").alias("part")).groupBy("part").agg(F.sum("n").cast("double").alias("c"))
+            plain = durable(plain.unionByName(lost).groupBy("part").agg(F.sum("c").alias("c")).filter("c > 0"))
         # What a single text alone supports is no evidence for that text.
         known = durable(
             plain.withColumn("texts", F.lit(2))
@@ -316,12 +349,14 @@ def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> D
             .filter("texts > 1")
             .drop("texts")
         )
-    return durable(_scored(lattice, known).mapInPandas(_decide(cut), "text string, vals array<string>"))
+    scored, new = _scored(open_texts, lattice, known)
+    return durable(scored.mapInArrow(_decide(new, cut), "text string, vals array<string>"))
 
 
 def packed_places(event_records: DataFrame) -> DataFrame:
     """``(event_id, pos, val)``: every value of each place field that holds two or
     more, repeated deliveries counted once."""
-    rows = event_records.filter("event_id is not null and place is not null").select("event_id", "place").distinct()
+    rows = event_records.filter("event_id is not null and place is not null").select("event_id", "place")
     split = packed_texts(rows, "place").filter(F.size("vals") > 1)
-    return rows.join(split, F.col("place") == F.col("text")).select("event_id", F.posexplode("vals").alias("pos", "val"))
+    packed = rows.join(split, F.col("place") == F.col("text")).select("event_id", "vals").distinct()
+    return packed.select("event_id", F.posexplode("vals").alias("pos", "val"))
