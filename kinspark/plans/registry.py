@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinspark.plans import training
+from kinspark.plans import archive, training
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(training.QUERIES)
+    return {**archive.QUERIES, **training.QUERIES}
 
 
 def oracles() -> dict[str, str]:
-    return dict(training.ORACLES)
+    return {**archive.ORACLES, **training.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.p3_found(spark, sf_dir)
+    return archive.births_by_place_and_year(spark, sf_dir)
