@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinspark.functions.dates import let
 from kinspark.functions.identity import normalize_pointer, strip
 from kinspark.session import durable, first_delivery
 
@@ -52,39 +53,39 @@ def _letters(c: Column) -> Column:
 def parse_names(df: DataFrame) -> DataFrame:
     """``(name_id, pointer, parish, birth_year, sn, gn, nick)``: surname and given
     name as plain letters, read from the full name, else from the parts."""
-    full = strip(F.regexp_replace(F.regexp_replace(F.coalesce("full_name", F.lit("")), TITLES, " "), r"[\"“”«»(][^\"“”«»()]*[\"“”«»)]", " "))
-    full = strip(F.regexp_replace(full, r"[\s\p{Z}]+", " "))
-    tokens = F.split(full, " ")
-    slashed = F.regexp_extract(full, r"/([^/]*)/?", 1)
-    before = F.regexp_extract(full, r"^([^,]*),", 1)
-    capital = F.element_at(tokens, 1).rlike(r"^[\p{Lu}0-9'’-]{3,}$") & F.exists(F.slice(tokens, 2, 50), lambda t: t.rlike(r"\p{Ll}"))
-    surname = (
-        F.when(slashed != "", slashed)
-        .when(before != "", before)
-        .when(capital, F.element_at(tokens, 1))
-        .when(F.size(tokens) > 1, F.element_at(tokens, -1))
-        .when(full == "", F.col("surname"))
-        .otherwise(F.coalesce("surname", F.lit("")))
-    )
-    rest = (
-        F.when(slashed != "", F.regexp_replace(full, r"/[^/]*/?", " "))
-        .when(before != "", F.regexp_replace(full, r"^[^,]*,", ""))
-        .when(capital, F.array_join(F.slice(tokens, 2, 50), " "))
-        .when(F.size(tokens) > 1, F.array_join(F.slice(tokens, 1, 1), " "))
-        .when(full == "", F.col("given"))
-        .otherwise(full)
-    )
-    given = F.regexp_replace(F.element_at(F.split(strip(_letters(rest)), " +"), 1), "^xp", "chrisp")
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce("full_name", F.lit("")), TITLES, " "), r"[\"“”«»(][^\"“”«»()]*[\"“”«»)]", " ")
+    full = strip(F.regexp_replace(strip(bare), r"[\s\p{Z}]+", " "))
+
+    def facts(v: Column) -> Column:
+        tokens = F.split(v, " ")
+        capital = F.element_at(tokens, 1).rlike(r"^[\p{Lu}0-9'’-]{3,}$") & F.exists(F.slice(tokens, 2, 50), lambda t: t.rlike(r"\p{Ll}"))
+        slashed, before = F.regexp_extract(v, r"/([^/]*)/?", 1), F.regexp_extract(v, r"^([^,]*),", 1)
+        kind = F.when(slashed != "", "slashed").when(before != "", "comma").when(capital, "capital").when(F.size(tokens) > 1, "last").when(v == "", "parts").otherwise("one")
+        return let(F.struct(v.alias("full"), tokens.alias("tokens"), slashed.alias("slashed"), before.alias("before"), kind.alias("kind")), split)
+
+    def split(v: Column) -> Column:
+        k, tokens, whole = v["kind"], v["tokens"], v["full"]
+        surname = (
+            F.when(k == "slashed", v["slashed"]).when(k == "comma", v["before"]).when(k == "capital", F.element_at(tokens, 1)).when(k == "last", F.element_at(tokens, -1))
+            .when(k == "parts", F.col("surname")).otherwise(F.coalesce("surname", F.lit("")))
+        )
+        rest = (
+            F.when(k == "slashed", F.regexp_replace(whole, r"/[^/]*/?", " ")).when(k == "comma", F.regexp_replace(whole, r"^[^,]*,", ""))
+            .when(k == "capital", F.array_join(F.slice(tokens, 2, 50), " ")).when(k == "last", F.element_at(tokens, 1)).when(k == "parts", F.col("given")).otherwise(whole)
+        )
+        given = F.regexp_replace(F.element_at(F.split(strip(_letters(rest)), " +"), 1), "^xp", "chrisp")
+        # m and in or rn are read for each other.
+        folded = F.regexp_replace(F.regexp_replace(_letters(surname), " ", ""), "in|rn", "m")
+        return F.struct(folded.alias("sn"), F.when(given == "jno", "jn").otherwise(given).alias("gn"))
+
     return df.select(
         "name_id",
         F.coalesce(normalize_pointer(F.col("pointer")), F.concat(F.lit("#"), F.col("name_id").cast("string"))).alias("pointer"),
         "parish",
         "birth_year",
-        # m and in or rn are read for each other.
-        F.regexp_replace(F.regexp_replace(_letters(surname), " ", ""), "in|rn", "m").alias("sn"),
-        F.when(given == "jno", "jn").otherwise(given).alias("gn"),
+        let(full, facts).alias("n"),
         strip(_letters(F.col("nickname"))).alias("nick"),
-    )
+    ).select("name_id", "pointer", "parish", "birth_year", "n.sn", "n.gn", "nick")
 
 
 def learned_nicknames(parsed: DataFrame) -> DataFrame:
@@ -209,32 +210,29 @@ def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE,
     w)`` with a < b and the sum of the similarities between their members. Pairs
     without a link are 0 alike. Each round merges all pairs that are each other's
     nearest at a mean similarity of ``least`` or more."""
+    size = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias("n" + c))
+    edges = links.join(size("a"), "a").join(size("b"), "b")
     member = nodes.select("node", F.col("node").alias("cluster"))
-    sizes = nodes.select(F.col("node").alias("c"), "n")
-    edges = links
-    for _ in range(max_rounds):
-        na, nb = sizes.select(F.col("c").alias("a"), F.col("n").alias("na")), sizes.select(F.col("c").alias("b"), F.col("n").alias("nb"))
-        edges = durable(edges.join(na, "a").join(nb, "b").withColumn("s", F.col("w") / (F.col("na") * F.col("nb"))))
+    for at in range(1, max_rounds + 1):
+        edges = durable(edges.withColumn("s", F.col("w") / (F.col("na") * F.col("nb"))))
         # One order over all edges: the nearest of either end is the same edge for both.
-        rank = F.struct("s", F.hash("a", "b").alias("h"), "a", "b")
-        near = (
-            edges.filter(F.col("s") >= least)
-            .select(F.explode(F.array("a", "b")).alias("c"), rank.alias("r"))
-            .groupBy("c")
-            .agg(F.max("r").alias("r"))
-        )
-        merged = durable(near.groupBy("r.a", "r.b").agg(F.count("*").alias("k")).filter("k = 2").select("a", "b"))
+        rank = F.struct("s", F.hash("a", "b").alias("h"), "a", "b", "na", "nb")
+        near = edges.filter(F.col("s") >= least).select(F.explode(F.array("a", "b")).alias("c"), rank.alias("r")).groupBy("c").agg(F.max("r").alias("r"))
+        merged = durable(near.groupBy("r.a", "r.b", "r.na", "r.nb").agg(F.count("*").alias("k")).filter("k = 2"))
         if merged.isEmpty():
             return member
-        into = merged.select(F.col("b").alias("c"), F.col("a").alias("to"))
-
-        def moved(df: DataFrame, col: str) -> DataFrame:
-            return df.join(into.withColumnRenamed("c", col), col, "left").withColumn(col, F.coalesce("to", col)).drop("to")
-
-        member = durable(moved(member, "cluster"))
-        sizes = durable(moved(sizes, "c").groupBy("c").agg(F.sum("n").alias("n")))
-        both = moved(moved(edges.select("a", "b", "w"), "a"), "b").filter("a <> b")
-        edges = both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w"))
+        both = merged.select(F.explode(F.array("a", "b")).alias("c"), F.col("a").alias("to"), (F.col("na") + F.col("nb")).alias("m"))
+        for end in ("a", "b"):
+            edges = edges.join(both.withColumnRenamed("c", end), end, "left").withColumns({end: F.coalesce("to", end), "n" + end: F.coalesce("m", "n" + end)}).drop("to", "m")
+        edges = edges.filter("a <> b").select(
+            F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("nx"),
+            F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("ny"), "w",
+        )
+        edges = edges.groupBy("x", "y", "nx", "ny").agg(F.sum("w").alias("w")).toDF("a", "b", "na", "nb", "w")
+        into = merged.select(F.col("b").alias("cluster"), F.col("a").alias("to"))
+        member = member.join(into, "cluster", "left").select("node", F.coalesce("to", "cluster").alias("cluster"))
+        if at % 3 == 0:
+            member = durable(member)
     return member
 
 
