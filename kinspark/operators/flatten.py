@@ -8,10 +8,11 @@ vectorised take. No body is walked node by node, and depth is bounded only by
 the data.
 
 Defined results: null, blank and malformed bodies, bodies that are no object
-and rows with a null key give no rows. Children may be an array (nulls and
+and rows with a null key give no rows; a body that names a field twice in one
+object, or has anything after its object, is malformed. Children may be an array (nulls and
 plain values in it are passed over), one object, null, absent, or a text that
-holds any of these as JSON; nested arrays are looked through. Of a field given
-twice the last counts. A tag that is absent or no text is null.
+holds any of these as JSON; nested arrays are looked through. A tag that is
+absent or no text is null.
 """
 
 from __future__ import annotations
@@ -141,7 +142,8 @@ def _flatten(doc: _Level) -> tuple[dict, _Level | None]:
     holder = np.zeros(n, bool)
     if levels and len(levels[0]):
         top = levels[0]
-        node[top] = o_obj[top]
+        alone = np.bincount(o_row[top], minlength=len(off) - 1)[o_row[top]] == 1
+        node[top] = o_obj[top] & alone
         if doc.parents is not None:
             holder[top] = ~o_obj[top]
         for here in levels[1:]:
@@ -272,7 +274,7 @@ def flatten_nodes(df: DataFrame, key: str = "record_id", body: str = "body") ->
     ``lineno`` are ints where they can be read as such."""
     kind = dict(df.dtypes)[key]
     rows = df.select(key, body).filter(
-        F.col(key).isNotNull() & blank_to_null(F.col(body)).isNotNull() & F.expr(f"try_parse_json(`{body}`)").isNotNull() & F.ltrim(F.col(body)).rlike(r"^\s*\{")
+        F.col(key).isNotNull() & blank_to_null(F.col(body)).isNotNull() & F.expr(f"try_parse_json(`{body}`)").isNotNull() & F.col(body).rlike(r"(?s)^\s*\{.*\}\s*$")
     )
     schema = pa.schema([(key, {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string()))] + [(c, pa.string()) for c in ("node_path", "parent_path", *FIELDS)])
     ddl = f"`{key}` {kind}, node_path string, parent_path string, " + ", ".join(f"{c} string" for c in FIELDS)
