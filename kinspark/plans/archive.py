@@ -10,7 +10,7 @@ from kinspark.functions import dates, events as ev, identity, names, occupations
 from kinspark.operators import claims, components, graph, naming, place_registry, registry, resolution, tree, xref
 from kinspark.plans.synth import people as customers, synth_lines
 from kinspark.plans.training import pointer_sql
-from kinspark.session import first_delivery, read_table
+from kinspark.session import durable, first_delivery, read_table
 from kinspark.sources import lineage
 
 B = "bigint"
@@ -21,7 +21,8 @@ def _tokens(s: SparkSession, d: str) -> DataFrame:
 
 
 def _nodes(s: SparkSession, d: str) -> DataFrame:
-    return tree.fold_text(tree.build_nodes(_tokens(s, d)))
+    # Written once: every builder reads the nodes several times.
+    return durable(tree.fold_text(durable(tree.build_nodes(_tokens(s, d)))))
 
 
 def _events(s: SparkSession, d: str) -> DataFrame:
