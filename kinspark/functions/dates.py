@@ -135,7 +135,7 @@ def parse_date(raw: Column) -> Column:
     return let(s, with_base)
 
 
-def gedcom_ymd(raw: Column) -> Column:
+def lineage_ymd(raw: Column) -> Column:
     """``struct(y, m, d, precision)`` with precision 0-3, as scoring reads dates."""
     months = {k: v for k, v in MONTHS.items() if k != "SEPT"}
 

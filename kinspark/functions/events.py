@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kinspark.functions.dates import gedcom_ymd, lookup
+from kinspark.functions.dates import lineage_ymd, lookup
 from kinspark.functions.places import levels
 
 #: Event tags of individuals and of families.
@@ -59,7 +59,7 @@ def claim_score(date: Column, place: Column, n_sources: Column, n_notes: Column,
 
 def date_points(date: Column) -> Column:
     """X5."""
-    p = gedcom_ymd(date)["precision"]
+    p = lineage_ymd(date)["precision"]
     return F.when(F.coalesce(date, F.lit("")) == "", 0).when(p == 3, 25).when(p == 2, 18).when(p == 1, 10).otherwise(5)
 
 
@@ -99,7 +99,7 @@ def ranking(hybrid: Column) -> Column:
 def score_flags(date: Column, place: Column, n_sources: Column, consistency: Column) -> Column:
     """The flags of X5-X8."""
     d, p, depth = F.coalesce(date, F.lit("")), F.coalesce(place, F.lit("")), F.size(levels(place))
-    precision = gedcom_ymd(date)["precision"]
+    precision = lineage_ymd(date)["precision"]
     return F.array_compact(
         F.array(
             F.when(d == "", "no_date").when(precision.isin(1, 2), "partial_date").when(precision == 0, "unrecognized_date_format"),

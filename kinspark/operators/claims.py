@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinspark.functions import events as ev
-from kinspark.functions.dates import gedcom_ymd
+from kinspark.functions.dates import lineage_ymd
 from kinspark.functions.places import places_conflict, places_similar
 
 
@@ -31,7 +31,7 @@ def cross_evidence(claims: DataFrame) -> DataFrame:
     """Per event the agreement of its claims less their severe conflicts,
     0-100; 100 where there is one claim. Claims alike are counted together, so the
     pairs compared are those of different dates and places."""
-    d = gedcom_ymd(F.col("date_text"))
+    d = lineage_ymd(F.col("date_text"))
     v = claims.select("event_key", F.coalesce("date_text", F.lit("")).alias("date_text"), F.coalesce("place", F.lit("")).alias("place"), d["y"].alias("y"), d["m"].alias("m"))
     forms = v.groupBy("event_key", "date_text", "place", "y", "m").agg(F.count("*").alias("n"))
     forms = forms.withColumn("f", F.struct("date_text", "place"))
@@ -55,7 +55,7 @@ def cross_evidence(claims: DataFrame) -> DataFrame:
 
 def lifespans(events: DataFrame) -> DataFrame:
     """``(owner, birth_year, death_year)`` of the last dated BIRT and DEAT."""
-    y = gedcom_ymd(F.col("date_text"))["y"]
+    y = lineage_ymd(F.col("date_text"))["y"]
     dated = F.coalesce("date_text", F.lit("")) != ""
 
     def last(tag: str):

@@ -108,7 +108,7 @@ def date_parse(s, d):
 
 
 def date_years(s, d):
-    y = dates.gedcom_ymd(F.col("date_text"))
+    y = dates.lineage_ymd(F.col("date_text"))
     return _events(s, d).select("event_id", y["y"].cast(B).alias("y"), y["m"].cast(B).alias("m"), y["d"].cast(B).alias("d"), y["precision"].cast(B).alias("p"), dates.first_year(F.col("date_text")).cast(B).alias("first_year"))
 
 
@@ -347,6 +347,9 @@ m0 AS (SELECT fam, unnest(members) AS m FROM alive),
 mem AS (SELECT DISTINCT fam, upper(trim(m.role)) AS role, {pointer_sql('m.member')} AS member FROM m0 WHERE {pointer_sql('m.member')} IS NOT NULL)"""
 _T = "trim(coalesce(date_text, ''))"
 _Y3 = "[0-9]{3,4}"
+_ALL = "'JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC'"
+_CLEAN = "nullif(trim(regexp_replace({0}, '\\s+', ' ', 'g'), ' '), '')"
+_MARKED = r"^(.*?)/([^/]+)/\s*(.*)$"
 _GOOD = {
     2: rf"^{_MON}\s+({_Y3})$",
     3: rf"^([0-9]{{1,4}})\s+{_MON}\s+({_Y3})(\s|$)",
@@ -384,6 +387,18 @@ s AS (SELECT *, {_simple_sql('body')} AS iso, trim(regexp_extract(rest, '(?i)^(.
 SELECT event_id, CASE WHEN is_range THEN 'range' WHEN code = 'ABT' THEN 'approximate' WHEN code = 'BEF' THEN 'before' WHEN code = 'AFT' THEN 'after' WHEN iso IS NULL THEN 'unknown' ELSE 'exact' END AS kind,
  code AS modifier, CASE WHEN NOT coalesce(is_range, false) THEN iso END AS date, CASE WHEN coalesce(is_range, false) OR iso IS NULL THEN NULL WHEN length(iso) = 4 THEN 'year' WHEN length(iso) = 7 THEN 'month' ELSE 'day' END AS precision,
  CASE WHEN is_range THEN {_simple_sql('l')} END AS start, CASE WHEN is_range THEN {_simple_sql('r')} END AS "end" FROM s""",
+    "date_years": rf"""WITH {_EV}, t AS (SELECT event_id, date_text, {_T} AS t FROM ev),
+n AS (SELECT *, CASE WHEN regexp_full_match(t, '\d+') THEN 1 WHEN regexp_full_match(t, '\S+\s+\d+') AND strpos({_ALL}, upper(t[:3])) % 3 = 1 THEN 2
+  WHEN regexp_full_match(t, '\d+\s+\S+\s+\d+') AND strpos({_ALL}, upper(regexp_extract(t, '\s(\S+)', 1)[:3])) % 3 = 1 THEN 3 ELSE 0 END AS p FROM t)
+SELECT event_id, CAST(p AS BIGINT) AS p, CASE WHEN p > 0 THEN CAST(regexp_extract(t, '(\d+)$', 1) AS BIGINT) END AS y,
+ CASE p WHEN 2 THEN (strpos({_ALL}, upper(t[:3])) + 2) // 3 WHEN 3 THEN (strpos({_ALL}, upper(regexp_extract(t, '\s(\S+)', 1)[:3])) + 2) // 3 END AS m,
+ CASE WHEN p = 3 THEN CAST(regexp_extract(t, '^(\d+)', 1) AS BIGINT) END AS d,
+ try_cast(nullif(regexp_extract(date_text, '(^|[^0-9])([0-9]{{4}})([^0-9]|$)', 2), '') AS BIGINT) AS first_year FROM n""",
+    "name_index": rf"""WITH c AS (SELECT DISTINCT name_id, {pointer_sql('pointer')} AS pointer, {_CLEAN.format('full_name')} AS f, {_CLEAN.format('given')} AS g, {_CLEAN.format('surname')} AS s, {_CLEAN.format('suffix')} AS x FROM name_records WHERE name_id IS NOT NULL),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pointer ORDER BY f IS NULL, name_id) AS rn FROM c) t WHERE rn = 1),
+m AS (SELECT *, coalesce(f, '') AS base, regexp_matches(coalesce(f, ''), '/[^/]+/') AS marked FROM b),
+k AS (SELECT pointer, concat_ws(' ', coalesce(g, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 1) ELSE base END), coalesce(s, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 2) END), coalesce(x, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 3) END)) AS pretty FROM m)
+SELECT lower({_CLEAN.format("regexp_replace(pretty, '[^0-9A-Za-z\s.''’-]', '', 'g')")}) AS normalized, count(*) AS occurrences FROM k WHERE pointer IS NOT NULL GROUP BY 1 HAVING normalized IS NOT NULL""",
     "ages": "SELECT o_orderkey, CAST(date_part('year', age(o_orderdate, b)) AS BIGINT) AS years, CAST(date_part('month', age(o_orderdate, b)) AS BIGINT) AS months FROM orders JOIN (SELECT o_custkey, min(o_orderdate) AS b FROM orders GROUP BY 1) f USING (o_custkey)",
     "uuids": f"""SELECT c_custkey, {_SHA.format("'PTR|@I' || c_custkey || '@'")} AS by_pointer, {_SHA.format("'NAME| i' || c_custkey || '|' || c_name")} AS by_name, {_SHA.format("'EVT| i' || c_custkey || '|BIRT||' || c_mktsegment")} AS by_event FROM customer""",
     "names_by_lists": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Dr.' END AS prefix, 'Ann' AS given, 'Mary' AS middle, 'van der' AS surname_prefix, c_mktsegment AS surname, 'Jr.' AS suffix FROM customer",

@@ -37,7 +37,7 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), f"kinspark-{os.getpid()}")
     sc.setCheckpointDir(named)
