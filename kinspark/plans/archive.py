@@ -398,7 +398,7 @@ SELECT event_id, CAST(p AS BIGINT) AS p, CASE WHEN p > 0 THEN CAST(regexp_extrac
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pointer ORDER BY f IS NULL, name_id) AS rn FROM c) t WHERE rn = 1),
 m AS (SELECT *, coalesce(f, '') AS base, regexp_matches(coalesce(f, ''), '/[^/]+/') AS marked FROM b),
 k AS (SELECT pointer, concat_ws(' ', coalesce(g, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 1) ELSE base END), coalesce(s, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 2) END), coalesce(x, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 3) END)) AS pretty FROM m)
-SELECT lower({_CLEAN.format("regexp_replace(pretty, '[^0-9A-Za-z\s.''’-]', '', 'g')")}) AS normalized, count(*) AS occurrences FROM k WHERE pointer IS NOT NULL GROUP BY 1 HAVING normalized IS NOT NULL""",
+SELECT lower({_CLEAN.format(r"regexp_replace(pretty, '[^0-9A-Za-z\s.''’-]', '', 'g')")}) AS normalized, count(*) AS occurrences FROM k WHERE pointer IS NOT NULL GROUP BY 1 HAVING normalized IS NOT NULL""",
     "ages": "SELECT o_orderkey, CAST(date_part('year', age(o_orderdate, b)) AS BIGINT) AS years, CAST(date_part('month', age(o_orderdate, b)) AS BIGINT) AS months FROM orders JOIN (SELECT o_custkey, min(o_orderdate) AS b FROM orders GROUP BY 1) f USING (o_custkey)",
     "uuids": f"""SELECT c_custkey, {_SHA.format("'PTR|@I' || c_custkey || '@'")} AS by_pointer, {_SHA.format("'NAME| i' || c_custkey || '|' || c_name")} AS by_name, {_SHA.format("'EVT| i' || c_custkey || '|BIRT||' || c_mktsegment")} AS by_event FROM customer""",
     "names_by_lists": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Dr.' END AS prefix, 'Ann' AS given, 'Mary' AS middle, 'van der' AS surname_prefix, c_mktsegment AS surname, 'Jr.' AS suffix FROM customer",
