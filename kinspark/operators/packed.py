@@ -1,19 +1,19 @@
 """Problem 6: several values packed in one field.
 
 A text is cut at every place where a delimiter could stand; spans in quotation
-marks are atomic. Over these atoms lies a lattice whose edges are values of up
-to ``MAX_ATOMS`` atoms. Expectation-maximisation learns from the whole column
-how often each value occurs (by its levels between commas) and each kind of delimiter really separates; Viterbi then takes the most
-likely way through each lattice. So a name that holds a slash or an ampersand
+marks are atomic. Over these atoms lies a lattice whose edges are all
+runs of atoms. Expectation-maximisation learns from the whole column how often
+each value occurs (by its levels between commas) and each kind of delimiter really separates,
+until neither changes; Viterbi then takes the most likely way through each lattice. So a name that holds a slash or an ampersand
 stays whole because the column knows it, or because the kind of delimiter
 hardly ever separates.
 
 Defined results: null and blank texts hold no value; empty values (doubled,
 leading or trailing delimiters) are left out and not counted in ``pos``; a
 quotation mark that is never closed is plain text; texts with fewer than two
-values give no rows. A text longer than any other is treated like any other.
-``MAX_ATOMS`` bounds how many unquoted delimiters one value may hold, not how
-many values a text may hold.
+values give no rows. A text longer than any other is treated like any other;
+its lattice grows as the square of its delimiters. Should the rates not settle
+in ``MAX_ROUNDS``, an error is raised.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 from kinspark.functions.identity import strip
 from kinspark.session import durable
 
-MAX_ATOMS = 3
-ROUNDS = 2
+#: The expectation ends when no kind's rate and no such part of all counts changes more.
+SETTLED = 1e-3
+MAX_ROUNDS = 100
+#: Rows of a batch of lattices.
+BATCH = 50_000
 #: How many times oftener a name must stand first than later to be a value of a list.
 HEADED = 2.0
 #: In what part of its occurrences a name may stand before the same next one in a list.
@@ -142,7 +145,7 @@ def edges(text: str, spans: list[tuple[int, int]], quoted: list[bool]) -> list[t
     quoted span is a value by itself."""
     n, out = len(spans), []
     for i in range(n):
-        for j in range(i + 1, min(n, i + MAX_ATOMS) + 1):
+        for j in range(i + 1, n + 1):
             if j - i > 1 and any(quoted[i:j]):
                 break
             out.append((i, j, parts(text[spans[i][0] : spans[j - 1][1]])))
@@ -203,12 +206,16 @@ _VALS = pa.schema([("text", pa.string()), ("vals", pa.list_(pa.string()))])
 def _lattices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], []]
+        whole = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PART)], schema=_PART)
         for key, text, levels in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "levels"))):
             spans, _, quoted = atoms(text, levels)
             for k, (_, _, values) in enumerate(edges(text, spans, quoted)):
                 for m, x in enumerate(values):
                     out[0].append(key), out[1].append(k), out[2].append(m), out[3].append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PART)], schema=_PART)
+                if len(out[0]) >= BATCH:
+                    yield whole()
+                    out = [[], [], [], []]
+        yield whole()
 
 
 def _open_texts(batch: pa.RecordBatch):
@@ -305,7 +312,14 @@ def _counted(distinct: DataFrame) -> DataFrame:
     return durable(parts.groupBy("part").agg(F.sum("n").cast("double").alias("c")))
 
 
-def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def _moved(before: DataFrame, after: DataFrame) -> float:
+    """The part of all counts that differs between two rounds."""
+    both = before.select("part", (-F.col("c")).alias("d"), F.lit(0.0).alias("c")).unionByName(after.select("part", F.col("c").alias("d"), "c"))
+    r = both.groupBy("part").agg(F.abs(F.sum("d")).alias("d"), F.sum("c").alias("c")).agg(F.sum("d").alias("d"), F.sum("c").alias("c")).first()
+    return (r["d"] or 0.0) / (r["c"] or 1.0)
+
+
+def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
     """``(text, vals)`` of every distinct text that could hold several values;
     ``vals`` has one entry where it turns out to hold one."""
     distinct = texts.filter(strip(F.col(col)) != "").groupBy(F.col(col).alias("text")).agg(F.count("*").alias("n"))
@@ -323,19 +337,21 @@ def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> D
     lattice = lattice_of(open_texts)
     known = plain
     cut = {k: (math.log(0.5), math.log(0.5)) for k in KINDS}
-    for at in range(rounds):
+    before = None
+    for at in range(MAX_ROUNDS):
         scored, new = _scored(open_texts, lattice, known)
         seen = scored.mapInArrow(_expect(new, cut), "what string, part string, c double, texts bigint")
         got = durable(seen.groupBy("what", "part").agg(F.sum("c").alias("c"), F.sum("texts").alias("texts")))
         rate = {(r["what"], r["part"]): r["c"] for r in got.filter("what <> 'v'").collect()}  # two rows per kind of delimiter
+        last = dict(cut)
         for k in KINDS:
             p = (rate.get(("cut", k), 0.0) + 0.5) / (rate.get(("all", k), 0.0) + 1.0)
             p = min(max(p, 1e-6), 1 - 1e-6)
             cut[k] = (math.log(p), math.log(1 - p))
+        values = got.filter("what = 'v'").select("part", "c")
         if at == 0:
             # Now values are known from packed fields too: lists by comma join the lattice.
-            values = plain.unionByName(got.filter("what = 'v' and c >= 0.5").select("part", "c")).groupBy("part").agg(F.sum("c").alias("c"))
-            listed = _listed(distinct, values)
+            listed = _listed(distinct, plain.unionByName(values.filter("c >= 0.5")).groupBy("part").agg(F.sum("c").alias("c")))
             more = listed.select(*columns, F.lit(True).alias("levels"))
             open_texts, lattice = open_texts.unionByName(more), lattice.unionByName(lattice_of(more))
             lost = listed.select((-F.col("n")).alias("n"), F.explode("parts").alias("part")).groupBy("part").agg(F.sum("n").cast("double").alias("c"))
@@ -349,6 +365,12 @@ def packed_texts(texts: DataFrame, col: str = "text", rounds: int = ROUNDS) -> D
             .filter("texts > 1")
             .drop("texts")
         )
+        steady = all(abs(math.exp(cut[k][0]) - math.exp(last[k][0])) <= SETTLED for k in KINDS)
+        if at > 1 and steady and _moved(before, values) <= SETTLED:
+            break
+        before = values
+    else:
+        raise RuntimeError(f"the rates of delimiters did not settle in {MAX_ROUNDS} rounds")
     scored, new = _scored(open_texts, lattice, known)
     return durable(scored.mapInArrow(_decide(new, cut), "text string, vals array<string>"))
 

@@ -109,6 +109,17 @@ def test_packed_texts(spark):
     assert len(got["Ash/Beech, Elm"]) == 1 and len(got["Fir & Pine, Elm"]) == 1
 
 
+def test_packed_runs_of_any_length_and_settled_rates(spark, monkeypatch):
+    texts = ["Ash/Beech & Fir/Elm and Yew", "Oak, Elm", "Larch, Elm"] * 30 + ["Oak; Ash/Beech & Fir/Elm and Yew", "Oak; Larch"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r["text"]: r["vals"] for r in packed.packed_texts(df).collect()}
+    assert got["Ash/Beech & Fir/Elm and Yew"] == ["Ash/Beech & Fir/Elm and Yew"]
+    assert got["Oak; Ash/Beech & Fir/Elm and Yew"] == ["Oak", "Ash/Beech & Fir/Elm and Yew"]
+    monkeypatch.setattr(packed, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="did not settle"):
+        packed.packed_texts(df)
+
+
 def test_packed_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None, "x"), (None, "a;b", "y"), (2, " ", "z")], "event_id bigint, place string, text string")
     assert packed.packed_places(df).count() == 0 and packed.packed_places(df.limit(0)).count() == 0
