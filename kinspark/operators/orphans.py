@@ -76,16 +76,18 @@ def direct_orphans(refs: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def cascade(direct: DataFrame, links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def cascade(direct: DataFrame, links: DataFrame) -> DataFrame:
     """``(tbl, row_key, steps)`` of every orphaned record: 0 steps where its own
     reference is missing or deleted, else the number of links to such a record.
 
     ``links`` has one row per foreign key (see LINKS). Each round semi-joins the
-    links with the records found last; the rounds end when none is new."""
+    links with the records found last; the rounds end when none is new, so there
+    is no bound on the depth."""
     lost = direct.filter(F.col("orphan_kind") != "late")
     found = durable(lost.select("tbl", "row_key").distinct().withColumn("steps", F.lit(0)))
-    frontier = found
-    for step in range(1, max_rounds + 1):
+    frontier, step = found, 0
+    while True:
+        step += 1
         parents = frontier.select(F.col("tbl").alias("parent_tbl"), F.col("row_key").alias("parent_key"))
         new = durable(
             links.join(parents, ["parent_tbl", "parent_key"], "left_semi")
@@ -97,7 +99,8 @@ def cascade(direct: DataFrame, links: DataFrame, max_rounds: int = 100) -> DataF
         if new.isEmpty():
             return found
         found, frontier = found.unionByName(new), new
-    raise RuntimeError(f"the cascade did not end in {max_rounds} rounds")
+        if step % 10 == 0:
+            found = durable(found)
 
 
 def orphan_report(refs: DataFrame, targets: DataFrame, links: DataFrame) -> DataFrame:
@@ -116,24 +119,61 @@ def orphan_report(refs: DataFrame, targets: DataFrame, links: DataFrame) -> Data
     )
 
 
-def archive_orphans(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame) -> DataFrame:
-    """The orphan report of the family archive: famc and fams of individuals,
-    source_xref of citations; citations inherit from the individual they
-    belong to."""
+def archive_refs(individuals: DataFrame, citations: DataFrame) -> DataFrame:
     who = normalize_pointer(F.col("pointer"))
-    refs = (
+    return (
         references(individuals, "individuals", who, "famc", "families")
         .unionByName(references(individuals, "individuals", who, "fams", "families"))
         .unionByName(references(citations, "citations", F.col("citation_id"), "source_xref", "source_records"))
     )
-    targets = target_states(families, "families").unionByName(target_states(sources, "source_records"))
-    links = citations.select(
-        F.lit("citations").alias("tbl"),
-        F.col("citation_id").cast("string").alias("row_key"),
-        F.lit("individuals").alias("parent_tbl"),
-        normalize_pointer(F.col("owner_pointer")).alias("parent_key"),
-    ).filter("row_key is not null and parent_key is not null")
-    return orphan_report(refs, targets, links)
+
+
+def archive_targets(families: DataFrame, sources: DataFrame) -> DataFrame:
+    return target_states(families, "families").unionByName(target_states(sources, "source_records"))
+
+
+def foreign_keys(df: DataFrame, tbl: str, row_key, ref, parent_tbl: str) -> DataFrame:
+    """Links of one foreign key (see LINKS); an array of references is unfolded."""
+    return (
+        df.select(F.lit(tbl).alias("tbl"), row_key.cast("string").alias("row_key"), F.lit(parent_tbl).alias("parent_tbl"), ref.alias("_ref"))
+        .select("tbl", "row_key", "parent_tbl", normalize_pointer(F.col("_ref")).alias("parent_key"))
+        .filter("row_key is not null and parent_key is not null")
+        .distinct()
+    )
+
+
+def archive_orphans(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame) -> DataFrame:
+    """The orphan report of the family archive: famc and fams of individuals,
+    source_xref of citations; citations inherit from the individual they
+    belong to. This one link is what the SQL of p7_inherited and p7_report
+    asks for; archive_cascade() follows all foreign keys."""
+    links = foreign_keys(citations, "citations", F.col("citation_id"), F.col("owner_pointer"), "individuals")
+    return orphan_report(archive_refs(individuals, citations), archive_targets(families, sources), links)
+
+
+def archive_cascade(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame, events: DataFrame) -> DataFrame:
+    """``(tbl, row_key, steps)`` of every record that inherits, over the whole
+    graph: families from the members of their last row unless it is deleted,
+    individuals from their famc and fams, citations and events from their
+    owner, an individual or a family. Only records that exist can inherit."""
+    who = normalize_pointer(F.col("pointer"))
+    last = families.select(who.alias("pointer"), "loaded_at", F.coalesce("deleted", F.lit(False)).alias("deleted"), "members").filter("pointer is not null")
+    last = last.groupBy("pointer").agg(F.max_by("members", F.struct("loaded_at", "deleted")).alias("members"), F.max(F.struct("loaded_at", "deleted")).alias("s")).filter("not s.deleted")
+    links = foreign_keys(last, "families", F.col("pointer"), F.explode("members.member"), "individuals")
+    for field in ("famc", "fams"):
+        own = foreign_keys(individuals, "individuals", who, F.explode(field), "families")
+        links = links.unionByName(own)
+    direct = durable(direct_orphans(archive_refs(individuals, citations), archive_targets(families, sources)))
+    found = cascade(direct.filter("tbl = 'individuals'"), durable(links))
+    # Citations and events are nobody's parents: they are looked up once, at the end.
+    parents = found.select(F.col("row_key").alias("parent_key"), (F.col("steps") + 1).alias("steps"))
+    below = []
+    for df, tbl, key in ((citations, "citations", "citation_id"), (events, "event_records", "event_id")):
+        owners = df.select(F.col(key).cast("string").alias("row_key"), normalize_pointer(F.col("owner_pointer")).alias("parent_key"))
+        heirs = owners.filter("row_key is not null").join(parents, "parent_key").groupBy("row_key").agg(F.min("steps").alias("steps"))
+        below.append(heirs.select(F.lit(tbl).alias("tbl"), "row_key", "steps"))
+    lost = direct.filter("tbl = 'citations' and orphan_kind <> 'late'").select("tbl", "row_key")
+    return found.filter("steps > 0").unionByName(below[0].join(lost, ["tbl", "row_key"], "left_anti")).unionByName(below[1])
 
 
 def orphans_per_period(report: DataFrame) -> DataFrame:

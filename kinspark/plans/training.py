@@ -53,13 +53,18 @@ def p7_inherited(spark: SparkSession, d: str) -> DataFrame:
     return _orphans(spark, d).filter("orphan_class = 'inherited'").select("tbl", "row_key", "steps")
 
 
+def p7_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """Inherited orphans over all foreign keys."""
+    return orphans.archive_cascade(*(read_table(spark, d, t) for t in ("individuals", "families", "citations", "source_records", "event_records")))
+
+
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphans_per_period(_orphans(spark, d))
 
 
 QUERIES = {
     "p2_found": p2_found, "p2_tags": p2_tags, "p3_found": p3_found, "p3_descendants": p3_descendants,
-    "p6_found": p6_found, "p7_found": p7_found, "p7_inherited": p7_inherited, "p7_report": p7_report,
+    "p6_found": p6_found, "p7_found": p7_found, "p7_inherited": p7_inherited, "p7_cascade": p7_cascade, "p7_report": p7_report,
 }
 
 
