@@ -233,7 +233,7 @@ def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE,
         member = member.join(into, "cluster", "left").select("node", F.coalesce("to", "cluster").alias("cluster"))
         if at % 3 == 0:
             member = durable(member)
-    return member
+    raise RuntimeError(f"the linkage did not end in {max_rounds} rounds")
 
 
 def name_clusters(name_records: DataFrame) -> DataFrame:

@@ -150,6 +150,14 @@ def test_average_linkage_against_greedy(spark):
     assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in groups.values()}
 
 
+def test_average_linkage_never_stops_unfinished(spark):
+    # Only one pair is each other's nearest in each round.
+    nodes = spark.createDataFrame([(i, 1) for i in range(5)], "node int, n bigint")
+    links = spark.createDataFrame([(i, j, 1 - j / 1000) for j in range(5) for i in range(j)], "a int, b int, w double")
+    with pytest.raises(RuntimeError, match="did not end"):
+        name_link.average_linkage(nodes, links, 0.4, max_rounds=2)
+
+
 def test_spam(spark, sf):
     docs = spark.read.parquet(sf.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text", "lang", "source")
     extra = spark.createDataFrame([(900001, None, None, "x"), (900002, "", "en", "x"), (900003, "family tree search, " * 60, "en", "x"), (900004, "He was baptised here. She was buried in the north aisle, aged 40. " * 2, "en", "x")], docs.schema)
