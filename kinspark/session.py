@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ def get_session(app: str = "kinspark", master: str | None = None, shuffle_partit
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -47,7 +49,27 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut lineage by writing to the shared checkpoint folder (survives the loss
     of executors)."""
     _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return _measured(df.checkpoint(eager=True))
+
+
+def _measured(df: DataFrame) -> DataFrame:
+    """A checkpoint keeps the size that was estimated for its plan, the product of
+    all joins that led to it. Over the rounds of an iteration that number grows
+    without bound, in digits too, and where it is too small, large tables are
+    broadcast. The size of the written files takes its place."""
+    spark = df.sparkSession
+    try:
+        jvm, plan = spark._jvm, df._jdf.queryExecution().logical()
+        folder = jvm.org.apache.hadoop.fs.Path(plan.rdd().getCheckpointFile().get())
+        size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+        # A range has 8 bytes a row.
+        stats = jvm.scala.Some(spark.range(size // 8 + 1)._jdf.queryExecution().logical().stats())
+        none = getattr(getattr(jvm, "scala.None$"), "MODULE$")
+        parts = (plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(), plan.isStreaming(), plan.stream())
+        exact = jvm.org.apache.spark.sql.execution.LogicalRDD(*parts, spark._jsparkSession, stats, none)
+        return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, exact), spark)
+    except (Py4JError, TypeError, AttributeError):  # another version of Spark: as it is
+        return df
 
 
 def first_delivery(df: DataFrame, key: str, version: str = "loaded_at") -> DataFrame:
