@@ -19,9 +19,11 @@ only; a null birth year goes with any. Rows delivered twice count once.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,11 @@ from kinspark.session import durable, first_delivery
 
 #: Cosine from which names are a pair, and mean similarity from which groups merge.
 COSINE, LINKAGE = 0.42, 0.33
+#: Cosine from which the surnames alone are joined.
+SURNAME_COSINE = 0.3
 YEARS = 2
+#: Years of a range by which forms are joined.
+SPAN = 5
 GIVEN_WEIGHT = 0.6
 #: Characters of an n-gram.
 GRAM = 2
@@ -58,7 +64,9 @@ def parse_names(df: DataFrame) -> DataFrame:
 
     def facts(v: Column) -> Column:
         tokens = F.split(v, " ")
-        capital = F.element_at(tokens, 1).rlike(r"^[\p{Lu}0-9'’-]{3,}$") & F.exists(F.slice(tokens, 2, 50), lambda t: t.rlike(r"\p{Ll}"))
+        rest = F.slice(tokens, 2, 1 << 20)
+        others = F.exists(rest, lambda t: t.rlike(r"\p{Ll}")) | ((F.size(rest) > 0) & F.forall(rest, lambda t: t.rlike(r"^\p{Lu}\.?$")))
+        capital = F.element_at(tokens, 1).rlike(r"^[\p{Lu}0-9'’-]{3,}$") & others
         slashed, before = F.regexp_extract(v, r"/([^/]*)/?", 1), F.regexp_extract(v, r"^([^,]*),", 1)
         kind = F.when(slashed != "", "slashed").when(before != "", "comma").when(capital, "capital").when(F.size(tokens) > 1, "last").when(v == "", "parts").otherwise("one")
         return let(F.struct(v.alias("full"), tokens.alias("tokens"), slashed.alias("slashed"), before.alias("before"), kind.alias("kind")), split)
@@ -71,7 +79,7 @@ def parse_names(df: DataFrame) -> DataFrame:
         )
         rest = (
             F.when(k == "slashed", F.regexp_replace(whole, r"/[^/]*/?", " ")).when(k == "comma", F.regexp_replace(whole, r"^[^,]*,", ""))
-            .when(k == "capital", F.array_join(F.slice(tokens, 2, 50), " ")).when(k == "last", F.element_at(tokens, 1)).when(k == "parts", F.col("given")).otherwise(whole)
+            .when(k == "capital", F.array_join(F.slice(tokens, 2, 1 << 20), " ")).when(k == "last", F.element_at(tokens, 1)).when(k == "parts", F.col("given")).otherwise(whole)
         )
         given = F.regexp_replace(F.element_at(F.split(strip(_letters(rest)), " +"), 1), "^xp", "chrisp")
         # m and in or rn are read for each other.
@@ -108,6 +116,8 @@ def tokens(sn: str, gn: str) -> list[tuple[str, float]]:
     """N-grams of the surname, and of the given name at less weight; what may be
     an initial or abbreviation counts by its first letter only."""
     out = [(g, 1.0) for g in _grams(sn, "s")]
+    if not gn:
+        return out
     out.append(("i" + gn[:1], GIVEN_WEIGHT))
     if len(gn) > 3:
         out += [(g, GIVEN_WEIGHT / 2) for g in _grams(gn, "g")]
@@ -115,34 +125,45 @@ def tokens(sn: str, gn: str) -> list[tuple[str, float]]:
 
 
 class Weights:
-    """Unit vectors under the document frequencies of tokens."""
+    """Vectors under the document frequencies of tokens; the surname's part and the
+    whole are unit vectors each."""
 
     def __init__(self, df: dict[str, int], n: int):
         self.df, self.n = df, max(n, 1)
+        # The rarest token first: this order is the same for all vectors.
+        self.place = {t: k for k, t in enumerate(sorted(df, key=lambda t: (df[t], t)))}
         self.vector = lru_cache(maxsize=200_000)(self._vector)
 
     def __reduce__(self):
         return Weights, (self.df, self.n)
 
-    def _vector(self, sn: str, gn: str) -> tuple[tuple[str, float], ...]:
-        v = [(t, w * math.log(1 + self.n / self.df.get(t, 1))) for t, w in tokens(sn, gn)]
-        norm = math.sqrt(sum(x * x for _, x in v)) or 1.0
-        return tuple(sorted(((t, x / norm) for t, x in v), key=lambda p: (self.df.get(p[0], 1), p[0])))
+    def _vector(self, sn: str, gn: str) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the tokens in ascending order, and their weights."""
+        found = sorted((self.place[t], w * math.log(1 + self.n / self.df[t])) for t, w in tokens(sn, gn))
+        x = np.array([w for _, w in found])
+        return np.array([k for k, _ in found]), x / (math.sqrt(float(x @ x)) or 1.0)
 
-    def prefix(self, sn: str, gn: str, least: float) -> list[str]:
+    def prefix(self, sn: str, least: float) -> list[int]:
         """The rarest tokens, until what is left can't reach the threshold alone."""
-        left, out = 1.0, []
-        for t, x in self.vector(sn, gn):
-            if left < least * least - 1e-9:
-                break
-            out.append(t)
-            left -= x * x
+        at, x = self.vector(sn, "")
+        left = 1.0 - np.concatenate(([0.0], np.cumsum(x * x)[:-1]))
+        return at[left >= least * least - 1e-9].tolist()
+
+    def cosines(self, a: list[tuple[str, str]], b: list[tuple[str, str]]) -> np.ndarray:
+        """The cosine of each pair, all pairs of a batch at once."""
+        words = {w: k for k, w in enumerate(dict.fromkeys([*a, *b]))}
+        vectors = [self.vector(*w) for w in words]
+        width = max((len(at) for at, _ in vectors), default=1)
+        at, x = np.full((len(words), width), -1, np.int32), np.zeros((len(words), width))
+        for k, (p, v) in enumerate(vectors):
+            at[k, : len(p)], x[k, : len(p)] = p, v
+        ia, ib = np.array([words[w] for w in a], int), np.array([words[w] for w in b], int)
+        out = np.zeros(len(a))
+        for i in range(width):  # each token of the one against all tokens of the other
+            own = at[ia, i]
+            out += x[ia, i] * np.where((at[ib] == own[:, None]) & (own >= 0)[:, None], x[ib], 0.0).sum(1)
         return out
 
-    def cosine(self, a: tuple[str, str], b: tuple[str, str]) -> float:
-        va, vb = dict(self.vector(*a)), dict(self.vector(*b))
-        return sum(x * vb[t] for t, x in va.items() if t in vb)
-
 
 def same_given(a: Column, b: Column) -> Column:
     """Equal, a spelling, an initial or an abbreviation of the other."""
@@ -161,7 +182,29 @@ def same_surname(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b) <= F.when(n >= 10, 3).when(n >= 6, 2).otherwise(1)
 
 
-def name_pairs(records: DataFrame, least: float = COSINE) -> DataFrame:
+def spelled_alike(names: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """``(parish, sn, sn_b)``, sn <= sn_b: surnames of one parish whose vectors have a
+    cosine of ``least`` or more, each with itself too. ``names``: ``(parish, sn)``."""
+
+    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(pre=[weights.prefix(s, least) for s in pdf["sn"]])
+
+    post = durable(names.mapInPandas(prefixes, "parish string, sn string, pre array<int>"))
+    left = post.select("parish", "sn", "pre", F.explode("pre").alias("t"))
+    right = left.select("parish", "t", F.col("sn").alias("sn_b"), F.col("pre").alias("pre_b"))
+    # A pair is taken at the first token its prefixes share, so it comes once.
+    both = left.join(right.hint("merge"), ["parish", "t"]).filter((F.col("sn") < F.col("sn_b")) & (F.element_at(F.array_intersect("pre", "pre_b"), 1) == F.col("t")))
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[weights.cosines([(s, "") for s in pdf["sn"]], [(s, "") for s in pdf["sn_b"]]) >= least]
+
+    pairs = both.select("parish", "sn", "sn_b").mapInPandas(near, "parish string, sn string, sn_b string")
+    return pairs.unionByName(names.select("parish", "sn", F.col("sn").alias("sn_b")))
+
+
+def name_pairs(records: DataFrame, least: float = COSINE, least_surname: float = SURNAME_COSINE) -> DataFrame:
     """``(fa, fb, s)``: pairs of forms that are spellings of one name. A form is
     what records of one parish, year, surname and given name share."""
     forms = durable(
@@ -169,71 +212,77 @@ def name_pairs(records: DataFrame, least: float = COSINE) -> DataFrame:
             "f", F.xxhash64("parish", F.coalesce("birth_year", F.lit(-1)), "sn", "gn")
         )
     )
-    words = forms.select("sn", "gn").distinct()
+    words = durable(forms.select("sn", "gn").distinct())
 
     def all_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"t": [t for s, g in zip(pdf["sn"], pdf["gn"]) for t, _ in tokens(s, g)]})
+            yield pd.DataFrame(Counter(t for s, g in zip(pdf["sn"], pdf["gn"]) for t, _ in tokens(s, g)).items(), columns=["t", "n"])
 
-    counts = words.mapInPandas(all_tokens, "t string").groupBy("t").agg(F.count("*").alias("n"))
+    counts = words.mapInPandas(all_tokens, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
     # At most 28 * 28 bigrams of plain letters per kind, and 26 initials.
     weights = Weights({r["t"]: r["n"] for r in counts.collect()}, words.count())
 
-    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(t=[weights.prefix(s, g, least) for s, g in zip(pdf["sn"], pdf["gn"])]).explode("t")
-
-    ddl = "f bigint, parish string, birth_year int, sn string, gn string, t string"
-    post = durable(forms.select("f", "parish", "birth_year", "sn", "gn").mapInPandas(prefixes, ddl))
-    width = YEARS + 1
-    bucket = F.floor(F.col("birth_year") / width)
-    right = post.select("parish", "t", *[F.col(c).alias(c + "_b") for c in ("f", "birth_year", "sn", "gn")])
-    known = post.filter("birth_year is not null").withColumn("y", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
-    by_year = known.join(right.filter("birth_year_b is not null").withColumn("y", F.floor(F.col("birth_year_b") / width)), ["parish", "t", "y"]).drop("y")
-    by_year = by_year.filter((F.abs(F.col("birth_year") - F.col("birth_year_b")) <= YEARS) & (F.col("f") < F.col("f_b")))
-    open_year = post.filter("birth_year is null").join(right, ["parish", "t"]).filter("birth_year_b is not null or f < f_b")
-    both = by_year.select("f", "f_b", "sn", "gn", "sn_b", "gn_b").unionByName(open_year.select("f", "f_b", "sn", "gn", "sn_b", "gn_b"))
-    checked = both.filter(same_surname(F.col("sn"), F.col("sn_b")) & same_given(F.col("gn"), F.col("gn_b"))).distinct()
+    alike = spelled_alike(forms.select("parish", "sn").distinct(), weights, least_surname)
+    alike = alike.filter(same_surname(F.col("sn"), F.col("sn_b")))
+    # Either order, so that the earlier year can stand left.
+    alike = durable(alike.unionByName(alike.filter("sn <> sn_b").select("parish", F.col("sn_b").alias("sn"), F.col("sn").alias("sn_b"))))
+    own = forms.hint("merge")
+    left = alike.join(own, ["parish", "sn"]).select("parish", "sn", "sn_b", "birth_year", "gn", "f")
+    right = own.select("parish", F.col("sn").alias("sn_b"), F.col("birth_year").alias("birth_year_b"), F.col("gn").alias("gn_b"), F.col("f").alias("f_b"))
+    span = lambda y: F.floor(y / SPAN)
+    reach = F.when(F.col("birth_year").isNotNull(), F.sequence(span(F.col("birth_year")), span(F.col("birth_year") + YEARS)))
+    known = left.filter("birth_year is not null").withColumn("y", F.explode(reach)).join(right.filter("birth_year_b is not null").withColumn("y", span(F.col("birth_year_b"))).hint("merge"), ["parish", "sn_b", "y"])
+    known = known.filter((F.col("birth_year_b") - F.col("birth_year")).between(0, YEARS) & ((F.col("birth_year") < F.col("birth_year_b")) | (F.col("f") < F.col("f_b"))))
+    unknown = left.filter("birth_year is null").join(right.hint("merge"), ["parish", "sn_b"]).filter("birth_year_b is not null or f < f_b")
+    cols = ["f", "f_b", "sn", "gn", "sn_b", "gn_b"]
 
     def cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            s = [weights.cosine((a, b), (c, d)) for a, b, c, d in zip(pdf["sn"], pdf["gn"], pdf["sn_b"], pdf["gn_b"])]
-            yield pd.DataFrame({"fa": pdf["f"], "fb": pdf["f_b"], "s": s})
+            s = weights.cosines(list(zip(pdf["sn"], pdf["gn"])), list(zip(pdf["sn_b"], pdf["gn_b"])))
+            yield pdf[["f", "f_b", "gn", "gn_b"]].assign(s=s)[s >= least]
 
-    pairs = checked.mapInPandas(cosines, "fa bigint, fb bigint, s double").filter(F.col("s") >= least)
+    near = known.select(*cols).unionByName(unknown.select(*cols)).mapInPandas(cosines, "f bigint, f_b bigint, gn string, gn_b string, s double")
+    pairs = near.filter(same_given(F.col("gn"), F.col("gn_b")))
     same = forms.select(F.col("f").alias("fa"), F.col("f").alias("fb"), F.lit(1.0).alias("s"))
-    return pairs.select(F.least("fa", "fb").alias("fa"), F.greatest("fa", "fb").alias("fb"), "s").unionByName(same)
+    return pairs.select(F.least("f", "f_b").alias("fa"), F.greatest("f", "f_b").alias("fb"), "s").unionByName(same)
 
 
-def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE, max_rounds: int = 40) -> DataFrame:
+def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE) -> DataFrame:
     """``(node, cluster)``. ``nodes``: ``(node, n)`` with sizes; ``links``: ``(a, b,
     w)`` with a < b and the sum of the similarities between their members. Pairs
     without a link are 0 alike. Each round merges all pairs that are each other's
-    nearest at a mean similarity of ``least`` or more."""
+    nearest at a mean similarity of ``least`` or more. At least the pair highest in
+    the order of all links merges in every round, so the rounds end by themselves.
+
+    A mean can't exceed the greatest of those it is made of, so a cluster without
+    a link of ``least`` never merges, and its links leave the rounds."""
     size = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias("n" + c))
-    edges = links.join(size("a"), "a").join(size("b"), "b")
+    edges = links.join(size("a").hint("merge"), "a").join(size("b").hint("merge"), "b").select("a", "b", "na", "nb", "w")
     member = nodes.select("node", F.col("node").alias("cluster"))
-    for at in range(1, max_rounds + 1):
+    moves: list[DataFrame] = []
+    while True:
         edges = durable(edges.withColumn("s", F.col("w") / (F.col("na") * F.col("nb"))))
         # One order over all edges: the nearest of either end is the same edge for both.
         rank = F.struct("s", F.hash("a", "b").alias("h"), "a", "b", "na", "nb")
         near = edges.filter(F.col("s") >= least).select(F.explode(F.array("a", "b")).alias("c"), rank.alias("r")).groupBy("c").agg(F.max("r").alias("r"))
-        merged = durable(near.groupBy("r.a", "r.b", "r.na", "r.nb").agg(F.count("*").alias("k")).filter("k = 2"))
-        if merged.isEmpty():
-            return member
-        both = merged.select(F.explode(F.array("a", "b")).alias("c"), F.col("a").alias("to"), (F.col("na") + F.col("nb")).alias("m"))
+        # Both ends of a pair that merges stand under the same edge.
+        pair = near.groupBy("r.a", "r.b", (F.col("r.na") + F.col("r.nb")).alias("m")).agg(F.collect_list(F.struct("c", F.when(F.col("c") == F.col("r.a"), F.col("r.na")).otherwise(F.col("r.nb")).alias("n"))).alias("cs"))
+        both = F.size("cs") == 2
+        live = durable(pair.select("a", "m", both.alias("both"), F.explode("cs").alias("c")).select(F.col("c.c").alias("c"), F.when(F.col("both"), F.col("a")).otherwise(F.col("c.c")).alias("to"), F.when(F.col("both"), F.col("m")).otherwise(F.col("c.n")).alias("m")))
+        if live.isEmpty():
+            break
+        moves.append(live.filter("c <> to").select(F.col("c").alias("cluster"), "to"))
         for end in ("a", "b"):
-            edges = edges.join(both.withColumnRenamed("c", end), end, "left").withColumns({end: F.coalesce("to", end), "n" + end: F.coalesce("m", "n" + end)}).drop("to", "m")
-        edges = edges.filter("a <> b").select(
-            F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("nx"),
-            F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("ny"), "w",
-        )
-        edges = edges.groupBy("x", "y", "nx", "ny").agg(F.sum("w").alias("w")).toDF("a", "b", "na", "nb", "w")
-        into = merged.select(F.col("b").alias("cluster"), F.col("a").alias("to"))
-        member = member.join(into, "cluster", "left").select("node", F.coalesce("to", "cluster").alias("cluster"))
-        if at % 3 == 0:
+            edges = edges.join(live.select(F.col("c").alias(end), F.col("to").alias(end + "2"), F.col("m").alias("m" + end)).hint("merge"), end)
+        edges = edges.filter("a2 <> b2")
+        turned = F.col("a2") > F.col("b2")
+        edges = edges.select(*[F.when(turned, F.col(y)).otherwise(F.col(x)).alias(z) for x, y, z in (("a2", "b2", "a"), ("b2", "a2", "b"), ("ma", "mb", "na"), ("mb", "ma", "nb"))], "w")
+        edges = edges.groupBy("a", "b", "na", "nb").agg(F.sum("w").alias("w"))
+    for at, into in enumerate(moves, 1):
+        member = member.join(into.hint("merge"), "cluster", "left").select("node", F.coalesce("to", "cluster").alias("cluster"))
+        if at % 4 == 0:
             member = durable(member)
-    raise RuntimeError(f"the linkage did not end in {max_rounds} rounds")
+    return member
 
 
 def name_clusters(name_records: DataFrame) -> DataFrame:
@@ -246,7 +295,7 @@ def name_clusters(name_records: DataFrame) -> DataFrame:
     pairs = durable(name_pairs(records))
     people = records.groupBy(F.col("pointer").alias("node")).agg(F.count("*").alias("n"))
     holds = records.filter("parish is not null and sn <> '' and gn <> ''").groupBy("pointer", "f").agg(F.count("*").alias("k"))
-    left, right = holds.select(F.col("f").alias("fa"), F.col("pointer").alias("pa"), F.col("k").alias("ka")), holds.select(F.col("f").alias("fb"), F.col("pointer").alias("pb"), F.col("k").alias("kb"))
+    left, right = (holds.select(F.col("f").alias("f" + x), F.col("pointer").alias("p" + x), F.col("k").alias("k" + x)).hint("merge") for x in "ab")
     links = (
         pairs.join(left, "fa")
         .join(right, "fb")
@@ -255,11 +304,19 @@ def name_clusters(name_records: DataFrame) -> DataFrame:
         .agg(F.sum(F.col("s") * F.col("ka") * F.col("kb")).alias("w"))
     )
     groups = average_linkage(people, links)
-    return records.select("name_id", F.col("pointer").alias("node")).join(groups, "node").select("name_id", "cluster")
+    return records.select("name_id", F.col("pointer").alias("node")).join(groups.hint("merge"), "node").select("name_id", "cluster")
 
 
 def linked_names(name_records: DataFrame) -> DataFrame:
     """``(name_id_a, name_id_b)``, a < b: every pair of records of one person."""
     c = name_clusters(name_records)
     a, b = c.select(F.col("name_id").alias("name_id_a"), "cluster"), c.select(F.col("name_id").alias("name_id_b"), "cluster")
-    return a.join(b, "cluster").filter("name_id_a < name_id_b").select("name_id_a", "name_id_b")
+    return a.join(b.hint("merge"), "cluster").filter("name_id_a < name_id_b").select("name_id_a", "name_id_b")
+
+
+def name_classes(name_records: DataFrame) -> DataFrame:
+    """``(name_id, class_id, n_links)``: the person of every record, named by its
+    least name_id, and how many other records the person has."""
+    c = durable(name_clusters(name_records))
+    sizes = c.groupBy("cluster").agg(F.min("name_id").alias("class_id"), (F.count("*") - 1).alias("n_links"))
+    return c.join(sizes.hint("merge"), "cluster").select("name_id", "class_id", "n_links")

@@ -30,6 +30,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return name_link.linked_names(read_table(spark, d, "name_records"))
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    return name_link.name_classes(read_table(spark, d, "name_records"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.token_ids(read_table(spark, d, "documents"))
 
@@ -57,7 +61,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_survivors": p1_survivors, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found,
+    "p1_found": p1_found, "p1_survivors": p1_survivors, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_classes": p5_classes,
     "p8_ids": p8_ids, "p8_lengths": p8_lengths, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
 }
 

@@ -127,10 +127,28 @@ def test_names(spark):
     got = {tuple(r) for r in name_link.linked_names(df).collect()}
     one = {1, 2, 4, 3, 7}
     assert got == {(a, b) for a in one for b in one if a < b}
-    assert name_link.linked_names(df.limit(0)).count() == 0
+    classes = {r["name_id"]: (r["class_id"], r["n_links"]) for r in name_link.name_classes(df).collect()}
+    assert all(classes[i] == (1, 4) for i in one) and classes[5] == (5, 0) and len(classes) == 15
+    assert name_link.linked_names(df.limit(0)).count() == 0 and name_link.name_classes(df.limit(0)).count() == 0
     del t
 
 
+def test_surname_join_against_all_pairs(spark):
+    r = random.Random(6)
+    base = ["".join(r.choice("abcdelmnor") for _ in range(r.randint(4, 9))) for _ in range(30)]
+    sns = sorted({*base, *(b[:2] + r.choice("xyz") + b[3:] for b in base)})
+    df = {}
+    for s in sns:
+        for t, _ in name_link.tokens(s, "anna"):
+            df[t] = df.get(t, 0) + 1
+    w = name_link.Weights(df, len(sns))
+    dense = lambda s: dict(zip(*(x.tolist() for x in w.vector(s, ""))))
+    v = {s: dense(s) for s in sns}
+    want = {(a, b) for a in sns for b in sns if a <= b and (a == b or sum(x * v[b].get(t, 0) for t, x in v[a].items()) >= 0.3)}
+    names = spark.createDataFrame([("p", s) for s in sns], "parish string, sn string")
+    assert {(x["sn"], x["sn_b"]) for x in name_link.spelled_alike(names, w, 0.3).collect()} == want
+
+
 def test_average_linkage_against_greedy(spark):
     r = random.Random(8)
     n = 24
@@ -150,12 +168,13 @@ def test_average_linkage_against_greedy(spark):
     assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in groups.values()}
 
 
-def test_average_linkage_never_stops_unfinished(spark):
+def test_average_linkage_of_many_rounds(spark):
     # Only one pair is each other's nearest in each round.
-    nodes = spark.createDataFrame([(i, 1) for i in range(5)], "node int, n bigint")
-    links = spark.createDataFrame([(i, j, 1 - j / 1000) for j in range(5) for i in range(j)], "a int, b int, w double")
-    with pytest.raises(RuntimeError, match="did not end"):
-        name_link.average_linkage(nodes, links, 0.4, max_rounds=2)
+    n = 60
+    nodes = spark.createDataFrame([(i, 1) for i in range(n)] + [(n, 1)], "node int, n bigint")
+    links = spark.createDataFrame([(i, j, 1 - j / 1000) for j in range(n) for i in range(j)], "a int, b int, w double").repartition(2)
+    got = {r["node"]: r["cluster"] for r in name_link.average_linkage(nodes, links).collect()}
+    assert len({got[i] for i in range(n)}) == 1 and got[n] == n
 
 
 def test_spam(spark, sf):
