@@ -103,12 +103,10 @@ def cascade(direct: DataFrame, links: DataFrame) -> DataFrame:
             found = durable(found)
 
 
-def orphan_report(refs: DataFrame, targets: DataFrame, links: DataFrame) -> DataFrame:
+def orphan_report(direct: DataFrame, inherited: DataFrame) -> DataFrame:
     """Direct orphan references and, below them, the records that inherit:
     ``(tbl, row_key, field_name, ref_pointer, orphan_kind, loaded_month,
     orphan_class, steps)``. An inherited row has no field, pointer or month."""
-    direct = durable(direct_orphans(refs, targets))
-    inherited = cascade(direct, links).filter("steps > 0")
     cols = ["tbl", "row_key", "field_name", "ref_pointer", "orphan_kind", "loaded_month"]
     null = F.lit(None).cast("string")
     return direct.select(*cols, F.lit("direct").alias("orphan_class"), F.lit(0).alias("steps")).unionByName(
@@ -142,28 +140,25 @@ def foreign_keys(df: DataFrame, tbl: str, row_key, ref, parent_tbl: str) -> Data
     )
 
 
-def archive_orphans(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame) -> DataFrame:
-    """The orphan report of the family archive: famc and fams of individuals,
-    source_xref of citations; citations inherit from the individual they
-    belong to. This one link is what the SQL of p7_inherited and p7_report
-    asks for; archive_cascade() follows all foreign keys."""
-    links = foreign_keys(citations, "citations", F.col("citation_id"), F.col("owner_pointer"), "individuals")
-    return orphan_report(archive_refs(individuals, citations), archive_targets(families, sources), links)
+def archive_direct(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame) -> DataFrame:
+    """The direct orphans of the archive, from which the cascade starts: famc and
+    fams of individuals, source_xref of citations."""
+    return direct_orphans(archive_refs(individuals, citations), archive_targets(families, sources))
 
 
-def archive_cascade(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame, events: DataFrame) -> DataFrame:
-    """``(tbl, row_key, steps)`` of every record that inherits, over the whole
-    graph: families from the members of their last row unless it is deleted,
-    individuals from their famc and fams, citations and events from their
-    owner, an individual or a family. Only records that exist can inherit."""
+def archive_orphans(individuals: DataFrame, families: DataFrame, citations: DataFrame, sources: DataFrame, events: DataFrame) -> DataFrame:
+    """The orphan report of the family archive: its direct orphans, and by the
+    cascade all records that inherit: families
+    from the members of their last row unless it is deleted, individuals from their
+    famc and fams, citations and events from their owner, an individual or a
+    family. Only records that exist can inherit."""
     who = normalize_pointer(F.col("pointer"))
     last = families.select(who.alias("pointer"), "loaded_at", F.coalesce("deleted", F.lit(False)).alias("deleted"), "members").filter("pointer is not null")
     last = last.groupBy("pointer").agg(F.max_by("members", F.struct("loaded_at", "deleted")).alias("members"), F.max(F.struct("loaded_at", "deleted")).alias("s")).filter("not s.deleted")
     links = foreign_keys(last, "families", F.col("pointer"), F.explode("members.member"), "individuals")
     for field in ("famc", "fams"):
-        own = foreign_keys(individuals, "individuals", who, F.explode(field), "families")
-        links = links.unionByName(own)
-    direct = durable(direct_orphans(archive_refs(individuals, citations), archive_targets(families, sources)))
+        links = links.unionByName(foreign_keys(individuals, "individuals", who, F.explode(field), "families"))
+    direct = durable(archive_direct(individuals, families, citations, sources))
     found = cascade(direct.filter("tbl = 'individuals'"), durable(links))
     # Citations and events are nobody's parents: they are looked up once, at the end.
     parents = found.select(F.col("row_key").alias("parent_key"), (F.col("steps") + 1).alias("steps"))
@@ -173,7 +168,8 @@ def archive_cascade(individuals: DataFrame, families: DataFrame, citations: Data
         heirs = owners.filter("row_key is not null").join(parents, "parent_key").groupBy("row_key").agg(F.min("steps").alias("steps"))
         below.append(heirs.select(F.lit(tbl).alias("tbl"), "row_key", "steps"))
     lost = direct.filter("tbl = 'citations' and orphan_kind <> 'late'").select("tbl", "row_key")
-    return found.filter("steps > 0").unionByName(below[0].join(lost, ["tbl", "row_key"], "left_anti")).unionByName(below[1])
+    heirs = found.filter("steps > 0").unionByName(below[0].join(lost, ["tbl", "row_key"], "left_anti")).unionByName(below[1])
+    return orphan_report(direct, heirs)
 
 
 def orphans_per_period(report: DataFrame) -> DataFrame:

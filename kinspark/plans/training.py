@@ -41,11 +41,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.archive_orphans(*(read_table(spark, d, t) for t in ("individuals", "families", "citations", "source_records")))
+    return orphans.archive_orphans(*(read_table(spark, d, t) for t in ("individuals", "families", "citations", "source_records", "event_records")))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    found = _orphans(spark, d).filter("orphan_class = 'direct'")
+    """The direct orphans; they are step 0 of the cascade, which p7_inherited and
+    p7_report follow to its end."""
+    found = orphans.archive_direct(*(read_table(spark, d, t) for t in ("individuals", "families", "citations", "source_records")))
     return found.select("tbl", "row_key", "field_name", "ref_pointer", "orphan_kind", "loaded_month")
 
 
@@ -53,18 +55,13 @@ def p7_inherited(spark: SparkSession, d: str) -> DataFrame:
     return _orphans(spark, d).filter("orphan_class = 'inherited'").select("tbl", "row_key", "steps")
 
 
-def p7_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Inherited orphans over all foreign keys."""
-    return orphans.archive_cascade(*(read_table(spark, d, t) for t in ("individuals", "families", "citations", "source_records", "event_records")))
-
-
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphans_per_period(_orphans(spark, d))
 
 
 QUERIES = {
     "p2_found": p2_found, "p2_tags": p2_tags, "p3_found": p3_found, "p3_descendants": p3_descendants,
-    "p6_found": p6_found, "p7_found": p7_found, "p7_inherited": p7_inherited, "p7_cascade": p7_cascade, "p7_report": p7_report,
+    "p6_found": p6_found, "p7_found": p7_found, "p7_inherited": p7_inherited, "p7_report": p7_report,
 }
 
 
@@ -106,10 +103,17 @@ direct AS (SELECT * FROM (SELECT r.tbl, r.row_key, r.field_name, r.ref_pointer,
   CASE WHEN t.deleted IS NULL THEN 'missing' WHEN t.deleted THEN 'deleted' WHEN t.first_at > r.row_at THEN 'late' END AS orphan_kind,
   strftime(r.row_at, '%Y-%m') AS loaded_month FROM r LEFT JOIN t ON t.tbl = r.tbl AND t.ref_pointer = r.ref_pointer) x WHERE orphan_kind IS NOT NULL)"""
 
-_OWNERS = f"""lost AS (SELECT DISTINCT tbl, row_key FROM direct WHERE orphan_kind <> 'late'),
-heir AS (SELECT DISTINCT 'citations' AS tbl, CAST(citation_id AS VARCHAR) AS row_key FROM citations
-  WHERE {pointer_sql('owner_pointer')} IN (SELECT row_key FROM lost WHERE tbl = 'individuals')
-  AND CAST(citation_id AS VARCHAR) NOT IN (SELECT row_key FROM lost WHERE tbl = 'citations'))"""
+_OWN = pointer_sql("owner_pointer")
+_HEIRS = f"""lost AS (SELECT DISTINCT tbl, row_key FROM direct WHERE orphan_kind <> 'late'),
+last_fam AS (SELECT {_P} AS k, arg_max(members, loaded_at) AS ms, arg_max(coalesce(deleted, false), loaded_at) AS gone FROM families GROUP BY 1),
+ups AS (SELECT DISTINCT 'families' AS tbl, k AS row_key, 'individuals' AS up_tbl, {pointer_sql('m.member')} AS up_key FROM (SELECT k, unnest(ms) AS m FROM last_fam WHERE k IS NOT NULL AND NOT gone)
+  UNION SELECT 'individuals', k, 'families', {pointer_sql('ref')} FROM (SELECT {_P} AS k, unnest(list_concat(coalesce(famc, []), coalesce(fams, []))) AS ref FROM individuals) WHERE k IS NOT NULL
+  UNION SELECT 'citations', CAST(citation_id AS VARCHAR), t, {_OWN} FROM citations, (VALUES ('individuals'), ('families')) v(t) WHERE citation_id IS NOT NULL
+  UNION SELECT 'event_records', CAST(event_id AS VARCHAR), t, {_OWN} FROM event_records, (VALUES ('individuals'), ('families')) v(t) WHERE event_id IS NOT NULL),
+fall(tbl, row_key, steps) USING KEY (tbl, row_key) AS (SELECT tbl, row_key, 0 FROM lost
+  UNION SELECT u.tbl, u.row_key, f.steps + 1 FROM fall f JOIN ups u ON u.up_tbl = f.tbl AND u.up_key = f.row_key
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.fall g WHERE g.tbl = u.tbl AND g.row_key = u.row_key)),
+heir AS (SELECT tbl, row_key, CAST(steps AS INTEGER) AS steps FROM fall WHERE steps > 0)"""
 
 ORACLES = {
     "p3_found": f"""WITH RECURSIVE {_LINKS}
@@ -120,8 +124,8 @@ above AS (SELECT link.node, link.parent AS pointer, 1 AS steps FROM link JOIN wa
   UNION ALL SELECT above.node, link.parent, above.steps + 1 FROM above JOIN link ON link.node = above.pointer WHERE link.parent IS NOT NULL)
 SELECT pointer, count(*) AS n_descendants, CAST(max(steps) AS BIGINT) AS deepest FROM above GROUP BY pointer""",
     "p7_found": f"WITH {_REFS} SELECT tbl, row_key, field_name, ref_pointer, orphan_kind, loaded_month FROM direct",
-    "p7_inherited": f"WITH {_REFS}, {_OWNERS} SELECT tbl, row_key, CAST(1 AS INTEGER) AS steps FROM heir",
-    "p7_report": f"""WITH {_REFS}, {_OWNERS}, both_kinds AS (
+    "p7_inherited": f"WITH RECURSIVE {_REFS}, {_HEIRS} SELECT tbl, row_key, steps FROM heir",
+    "p7_report": f"""WITH RECURSIVE {_REFS}, {_HEIRS}, both_kinds AS (
   SELECT tbl, field_name, 'direct' AS orphan_class, orphan_kind, loaded_month, row_key FROM direct
   UNION ALL SELECT tbl, NULL, 'inherited', 'inherited', NULL, row_key FROM heir)
 SELECT tbl, field_name, orphan_class, orphan_kind, loaded_month, count(*) AS n_refs, count(DISTINCT row_key) AS n_rows FROM both_kinds GROUP BY ALL""",
