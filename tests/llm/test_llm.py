@@ -185,6 +185,37 @@ def test_spam(spark, sf):
     assert spam.spam_pages(docs.limit(0)).count() == 0
 
 
+def planted_pages(seed):
+    """Pages of an own vocabulary: stuffed ones of four kinds, and ordinary ones."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice(["ba", "do", "ki", "lu", "mer", "nos", "tal", "vin", "ster"]) for _ in range(r.randint(2, 3)))
+    vocabulary, keys = [word() for _ in range(900)], [f"{word()}x {word()}q" for _ in range(12)]
+    sentence = lambda: " ".join(r.choice(vocabulary) for _ in range(r.randint(8, 16))).capitalize() + "."
+    plain = [" ".join(sentence() for _ in range(r.randint(3, 12))) for _ in range(900)]
+    # A few tags under a true text are no case.
+    plain += [" ".join(sentence() for _ in range(8)) + "\n" + ", ".join(r.sample(keys, 2)) for _ in range(40)]
+    stuffed = [", ".join(r.choice(keys[:6]) for _ in range(60)) for _ in range(25)]
+    stuffed += ["\n".join(f"http://{r.choice(keys).replace(' ', '-')}.example/{r.randrange(999)}" for _ in range(40)) for _ in range(10)]
+    stuffed += [" ".join(f"{r.choice(vocabulary)} {r.choice(keys)}" for _ in range(60)) for _ in range(10)]
+    stuffed += [sentence() + " " + " - ".join(r.choice(keys) for _ in range(80)) for _ in range(10)]
+    return plain, stuffed
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_spam_planted(spark, seed):
+    plain, stuffed = planted_pages(seed)
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(plain + stuffed)], "doc_id bigint, text string, lang string")
+    found = {r["doc_id"] for r in spam.spam_pages(df).collect()}
+    true = set(range(len(plain), len(plain) + len(stuffed)))
+    assert len(found & true) >= 0.9 * len(true) and len(found & true) >= 0.95 * len(found)
+
+
+def test_words_by_hash():
+    part, own, both = spam.words(["der alte hof".encode(), b"alte, hof a", "x ÿé".encode()])
+    assert part.tolist() == [0, 0, 0, 1, 1, 2] and own[1] == own[3] and own[2] == own[4] and both[1] == both[3] and both[2] == both[4] == both[5] == -1
+    assert len({*own.tolist()}) == 4
+
+
 @pytest.mark.parametrize("text, n", [("", 0), ("a b" * 400, 6), ("x\n" * 300, 2)])
 def test_blocks_keep_the_text(text, n):
     b = spam.blocks(text, 220)
