@@ -2,8 +2,9 @@
 
 The pieces of a batch's texts are made unique and sorted into buckets by
 length. A bucket is a padded matrix of token ids; in each round every row looks
-up the ranks of its neighbouring pairs in a hash table, merges its leftmost pair
-of minimum rank, and closes the gap; rows without a pair left leave the matrix.
+up the ranks of its new neighbouring pairs in a hash table, merges its leftmost pair
+of minimum rank and the other places of that pair, and closes the gaps; rows
+without a pair left leave the matrix. A piece of any length goes this way.
 
 Defined results: an empty list for null and for empty texts; strings that look
 like special tokens are ordinary text; texts are encoded as a whole, whatever
@@ -13,7 +14,6 @@ their length.
 from __future__ import annotations
 
 import base64
-import heapq
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,8 +27,6 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Fixed value: how this vocabulary's training cut texts into pieces.
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces of more bytes merge through a heap instead of a matrix.
-LONG_PIECE = 1024
 #: Pieces whose ids a worker remembers between batches.
 REMEMBERED = 400_000
 _NONE = np.iinfo(np.int64).max
@@ -83,74 +81,62 @@ class BytePairEncoder:
             (ranks[t[:i]] * self.width + ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
         ]
         self.pairs = PairTable(np.array([p for p, _ in found], np.int64), np.array([r for _, r in found], np.int64))
+        # Ids from which a pair of lower rank than their own can arise.
+        self.early = np.zeros(max(ranks.values()) + 1, bool)
+        for p, r in found:
+            for part in divmod(p, self.width):
+                self.early[part] |= r < part
         self.pieces = regex.compile(PIECES)
         self.known: dict[str, np.ndarray] = {}
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.pairs.get(np.where(right >= 0, left * self.width + right, -1))
+
     def _matrix(self, rows: np.ndarray) -> list[np.ndarray]:
         """Rows of ids, padded with -1 at the end, to their merged ids."""
         out: list[np.ndarray] = [None] * len(rows)  # type: ignore[list-item]
         who = np.arange(len(rows))
+        # The rank of each id's pair with the next one; none at the end.
+        rank = np.full(rows.shape, _NONE, np.int64)
+        rank[:, :-1] = self._ranks(rows[:, :-1], rows[:, 1:])
         while len(who):
-            if rows.shape[1] > 1:
-                left, right = rows[:, :-1], rows[:, 1:]
-                rank = self.pairs.get(np.where(right >= 0, left * self.width + right, -1))
-                at = rank.argmin(1)
-                best = rank[np.arange(len(rows)), at]
-            else:
-                at, best = np.zeros(len(rows), np.int64), np.full(len(rows), _NONE)
+            best = rank.min(1)
             done = best == _NONE
             for k in np.flatnonzero(done):
                 r = rows[k]
                 out[who[k]] = r[r >= 0].astype(np.int32)
-            go = ~done
-            rows, who, at, best = rows[go], who[go], at[go], best[go]
+            rows, who, rank, best = rows[~done], who[~done], rank[~done], best[~done]
             if not len(who):
                 break
-            rows[np.arange(len(rows)), at] = best
-            cols = np.arange(rows.shape[1] - 1)
-            rows = np.take_along_axis(rows, cols + (cols > at[:, None]), 1)
-            keep = (rows >= 0).any(0)
-            rows = rows[:, : keep.sum()]
+            # The pair of minimum rank, from the left and wherever else it stands: no
+            # merge can come between, but after an id in ``early``.
+            hit = rank == best[:, None]
+            at = np.arange(rows.shape[1])
+            hit &= (at == hit.argmax(1)[:, None]) | ~self.early[best][:, None]
+            if (hit[:, 1:] & hit[:, :-1]).any():  # of a run such as aaaa every second
+                hit &= (at - np.maximum.accumulate(np.where(hit, 0, at + 1), 1)) % 2 == 0
+            rows = np.where(hit, best[:, None], rows)
+            live = rows >= 0
+            live[:, 1:] &= ~hit[:, :-1]
+            size = live.sum(1)
+            slot = np.arange(size.max()) < size[:, None]
+            closed, ranks, new = np.full(slot.shape, -1, np.int64), np.full(slot.shape, _NONE, np.int64), np.zeros(slot.shape, bool)
+            closed[slot], ranks[slot], new[slot] = rows[live], rank[live], hit[live]
+            new[:, :-1] |= new[:, 1:]
+            i, j = np.nonzero(new)
+            inside = j + 1 < closed.shape[1]
+            ranks[i[~inside], j[~inside]] = _NONE
+            i, j = i[inside], j[inside]
+            ranks[i, j] = self._ranks(closed[i, j], closed[i, j + 1])
+            rows, rank = closed, ranks
         return out
 
-    def _heap(self, piece: bytes) -> np.ndarray:
-        """One very long piece: the same merges, in n log n."""
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def ranks(a, b):
-            return self.pairs.get(np.asarray(a, np.int64) * self.width + np.asarray(b, np.int64))
-
-        first = ranks(ids[:-1], ids[1:])
-        heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != _NONE]
-        heapq.heapify(heap)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = nxt[i] if ids[i] == a else n
-            if j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j] = r, -1
-            nxt[i] = nxt[j]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-            sides = [(p, q) for p, q in ((prv[i], i), (i, nxt[i])) if p >= 0 and q < n]
-            if sides:
-                for (p, q), v in zip(sides, ranks([ids[p] for p, _ in sides], [ids[q] for _, q in sides])):
-                    if v != _NONE:
-                        heapq.heappush(heap, (int(v), p, ids[p], ids[q]))
-        return np.array([x for x in ids if x >= 0], np.int32)
-
     def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode() for p in pieces]
         size = np.array([len(b) for b in raw])
         bucket = np.where(size <= 16, size, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(int))
         for width in np.unique(bucket):
             which = np.flatnonzero(bucket == width)
-            if width > LONG_PIECE:
-                for k in which:
-                    self.known[pieces[k]] = self._heap(raw[k])
-                continue
             step = max(1, (1 << 20) // int(width))
             for a in range(0, len(which), step):
                 part = which[a : a + step]
