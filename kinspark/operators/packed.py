@@ -152,22 +152,43 @@ def edges(text: str, spans: list[tuple[int, int]], quoted: list[bool]) -> list[t
     return out
 
 
-def _weights(text: str, levels: bool, known: dict[tuple[int, int], float], new: float, cut: dict[str, tuple[float, float]]):
+def _numbered(es) -> dict[str, int]:
+    """The distinct parts of a lattice, in the order in which they first occur."""
+    out: dict[str, int] = {}
+    for _, _, values in es:
+        for x in values:
+            out.setdefault(x, len(out))
+    return out
+
+
+def _weights(text: str, levels: bool, known: dict[int, float], new: float, cut: dict[str, tuple[float, float]]):
     """The lattice of a text: spans, kinds, and edges with their log weight, which
     is that of their parts, of the delimiters kept within, and of the cut after.
-    ``known`` holds the log probability of the parts that are known, by edge and
-    place in the edge; others share the mass ``new`` by their letters."""
+    ``known`` holds the log probability of the parts that are known, by their
+    number; others share the mass ``new`` by their letters."""
     spans, kinds, quoted = atoms(text, levels)
+    es = edges(text, spans, quoted)
+    logs = {}
+    for x, k in _numbered(es).items():
+        lp = known.get(k)
+        logs[x] = new - 2.0 - _CHAR_COST * len(_NO_LETTER.sub("", x[2:])) if lp is None else lp
+    # What the delimiters before each one cost where they are kept.
+    kept = [0.0]
+    for q in kinds:
+        kept.append(kept[-1] + cut[q][1])
     out = []
-    for k, (i, j, values) in enumerate(edges(text, spans, quoted)):
-        sums = {"t": 0.0, "h": 0.0, "s": 0.0}
-        for m, x in enumerate(values):
-            lp = known.get((k, m))
-            sums[x[0]] += new - 2.0 - _CHAR_COST * len(_NO_LETTER.sub("", x[2:])) if lp is None else lp
+    for i, j, values in es:
+        tails = heads = sides = 0.0
+        for x in values:
+            if x[0] == "t":
+                tails += logs[x]
+            elif x[0] == "h":
+                heads += logs[x]
+            else:
+                sides += logs[x]
         # A misspelt name that holds a delimiter is still known by its sides.
-        w = sums["t"] + (max(sums["h"], sums["s"]) if sums["s"] else sums["h"])
-        w += sum(cut[q][1] for q in kinds[i : j - 1]) + (cut[kinds[j - 1]][0] if j - 1 < len(kinds) else 0.0)
-        out.append((i, j, values, w))
+        w = tails + (max(heads, sides) if sides else heads) + kept[j - 1] - kept[i]
+        out.append((i, j, values, w + cut[kinds[j - 1]][0] if j - 1 < len(kinds) else w))
     return spans, kinds, out
 
 
@@ -198,23 +219,23 @@ def posteriors(n: int, es) -> list[float]:
     return [math.exp(min(0.0, fwd[i] + w + bwd[j] - fwd[n])) for i, j, _, w in es]
 
 
-_PART = pa.schema([("id", pa.int64()), ("k", pa.int32()), ("m", pa.int32()), ("part", pa.string())])
+_PART = pa.schema([("id", pa.int64()), ("k", pa.int32()), ("part", pa.string())])
 _COUNT = pa.schema([("what", pa.string()), ("part", pa.string()), ("c", pa.float64()), ("texts", pa.int64())])
 _VALS = pa.schema([("text", pa.string()), ("vals", pa.list_(pa.string()))])
 
 
 def _lattices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct parts of each text's lattice, with their numbers."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], []]
         whole = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PART)], schema=_PART)
         for key, text, levels in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "levels"))):
             spans, _, quoted = atoms(text, levels)
-            for k, (_, _, values) in enumerate(edges(text, spans, quoted)):
-                for m, x in enumerate(values):
-                    out[0].append(key), out[1].append(k), out[2].append(m), out[3].append(x)
-                if len(out[0]) >= BATCH:
-                    yield whole()
-                    out = [[], [], [], []]
+            own = _numbered(edges(text, spans, quoted))
+            out[0].extend([key] * len(own)), out[1].extend(own.values()), out[2].extend(own)
+            if len(out[0]) >= BATCH:
+                yield whole()
+                out = [[], [], []]
         yield whole()
 
 
@@ -223,11 +244,11 @@ def _open_texts(batch: pa.RecordBatch):
     lists = batch.column("e").combine_chunks() if isinstance(batch.column("e"), pa.ChunkedArray) else batch.column("e")
     offsets = lists.offsets.to_numpy()
     flat = lists.values
-    k, m, lp = (flat.field(c).to_pylist() for c in ("k", "m", "lp"))
+    k, lp = (flat.field(c).to_pylist() for c in ("k", "lp"))
     empty = lists.is_null().to_pylist()
     for r, (text, n, levels) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "n", "levels")))):
         a, b = (0, 0) if empty[r] else (offsets[r], offsets[r + 1])
-        yield text, n, levels, dict(zip(zip(k[a:b], m[a:b]), lp[a:b]))
+        yield text, n, levels, dict(zip(k[a:b], lp[a:b]))
 
 
 def _expect(new: float, cut):
@@ -303,7 +324,7 @@ def _scored(open_texts: DataFrame, lattice: DataFrame, known: DataFrame) -> tupl
     size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
     total, once = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
     lp = F.log("c") - F.lit(math.log(total + once))
-    of_text = lattice.join(known, "part").select("id", F.struct("k", "m", lp.alias("lp")).alias("e")).groupBy("id").agg(F.collect_list("e").alias("e"))
+    of_text = lattice.join(known, "part").select("id", F.struct("k", lp.alias("lp")).alias("e")).groupBy("id").agg(F.collect_list("e").alias("e"))
     return open_texts.join(of_text, "id", "left").select("text", "n", "levels", "e"), math.log(once) - math.log(total + once)
 
 
@@ -330,7 +351,7 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
     plain = _counted(distinct.filter("not hint"))
 
     def lattice_of(some: DataFrame) -> DataFrame:
-        return durable(some.select("id", "text", "levels").mapInArrow(_lattices, "id bigint, k int, m int, part string"))
+        return durable(some.select("id", "text", "levels").mapInArrow(_lattices, "id bigint, k int, part string"))
 
     columns = ["id", "text", "n"]
     open_texts = distinct.filter("hint").select(*columns, F.lit(False).alias("levels"))
