@@ -35,7 +35,7 @@ MAX_ROUNDS = 100
 #: Rows of a batch of lattices.
 BATCH = 50_000
 #: How many times oftener a name must stand first than later to be a value of a list.
-HEADED = 2.0
+HEADED = 1.0
 #: In what part of its occurrences a name may stand before the same next one in a list.
 COMPANY = 0.03
 #: Opening quotation mark -> closing one.
