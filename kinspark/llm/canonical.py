@@ -9,6 +9,10 @@ entries a value's parts come near to, the best supported one is kept: for places
 the one whose ancestors the other parts name. A value near to no entry is
 reported as ``none``.
 
+Which places hold several values is told by the operator of problem 6 from the
+whole column. Pairs at the threshold are checked once more by edits, whatever the
+order of their words.
+
 Defined results: null and blank values, and values exactly in the canonical
 writing, give no row; places that hold several values give none either; a value
 without letters is ``none``; where entries share a name and nothing tells them
@@ -24,20 +28,16 @@ from pyspark.sql import functions as F
 from kinspark.functions.dates import let
 from kinspark.functions.identity import strip
 from kinspark.llm.name_link import MARKED, PLAIN
+from kinspark.operators.packed import packed_texts
 from kinspark.session import durable
 
 JACCARD = 0.44
+#: The part of the letters that may be edited.
+EDITS = 0.3
 #: Words of 64 bits in a signature.
 MASKS = 3
 #: Least support of a place, and of an occupation.
 PLACE_SUPPORT, WORD_SUPPORT = 0.55, 0.5
-#: Words of the longest name that is looked for within a longer text.
-WINDOW = 4
-#: Levels above the lowest entries of the list of places.
-LOWEST = 3
-#: What surely separates values, outside quotation marks.
-SEPARATOR = r"[;|\t\n→]|->|=>|\s\+\s|\s/\s"
-_QUOTED = "\"(?:[^\"]|\"\")*\"|“[^”]*”|«[^»]*»|(?<![\\p{L}\\p{N}])'(?:[^']|'(?=\\p{L}))*'(?![\\p{L}\\p{N}])"
 #: Words that add detail to a place, and abbreviations in names.
 DETAIL = r"\b(?:parish|co|county|prov|province|township|nr|near|prob|probably|poss|of|at|by|in|the)\b"
 SHORT = [(r"\bst\b", "saint"), (r"\bmt\b", "mount"), (r"\bpt\b", "port"), (r"\bnr\b", "near")]
@@ -84,9 +84,8 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def similar(parts: DataFrame, names: DataFrame, least: float = JACCARD) -> DataFrame:
-    """``(part, name, sim)`` for the pairs of a part and a name with a Jaccard
-    similarity of ``least`` or more that few edits tell apart. ``parts``:
-    ``(part)``, ``names``: ``(name)``."""
+    """``(part, name, sim)`` for all pairs of a part and a name with a Jaccard
+    similarity of ``least`` or more. ``parts``: ``(part)``, ``names``: ``(name)``."""
     p = parts.select("part").distinct().withColumn("g", bigrams(F.col("part")))
     n = names.select("name").distinct().withColumn("g", bigrams(F.col("name")))
     # Rare in the list first, then in the column: the shortest postings are joined.
@@ -108,10 +107,9 @@ def similar(parts: DataFrame, names: DataFrame, least: float = JACCARD) -> DataF
         cols = [key, "size", "spare", *[f"m{i}" for i in range(MASKS)]]
         return marked.select(*cols, F.posexplode(F.slice("s", F.lit(1), keep)).alias("at", "x")).select(*cols, "at", F.col("x.t").alias("t"))
 
-    turned = F.regexp_replace("part", r"^(\S+) (.+)$", "$2 $1")
     # A few bytes here make many candidates: keep as many tasks as the session sets.
     tasks = int(df_conf(parts, "spark.sql.shuffle.partitions"))
-    a = prefixed(p, "part").withColumn("turned", F.when(turned != F.col("part"), turned)).repartition(tasks, "part")
+    a = prefixed(p, "part").repartition(tasks, "part")
     b = prefixed(n, "name").select("name", "t", *[F.col(c).alias(c + "_b") for c in ("size", "at", *[f"m{i}" for i in range(MASKS)])])
     short, long = F.least("size", "size_b"), F.greatest("size", "size_b")
     # Length filter, and positional filter: what can still be common from here on.
@@ -120,41 +118,56 @@ def similar(parts: DataFrame, names: DataFrame, least: float = JACCARD) -> DataF
     # Bits in common, and bigrams that share a bit, are all that can be common.
     shared = sum(F.bit_count(F.col(f"m{i}").bitwiseAND(F.col(f"m{i}_b"))) for i in range(MASKS)) + F.col("spare")
     cheap = (short >= F.lit(least) * long) & (most >= need - 1e-9) & (shared >= need - 1e-9)
-    edits = "greatest(1, int(greatest(length(part), length(name)) * 0.3))"
-    close = F.expr(f"levenshtein(part, name, {edits}) >= 0 or (turned is not null and levenshtein(turned, name, {edits}) >= 0)")
-    # In one expression, so that the edits are counted only where the bounds allow a
-    # pair; written, so that the exact similarity isn't pushed below the join.
-    found = durable(a.join(b, "t").filter(F.when(cheap, close).otherwise(F.lit(False))).select("part", "name").distinct())
+    # Written, so that the exact similarity isn't pushed below the join.
+    found = durable(a.join(b, "t").filter(cheap).select("part", "name").distinct())
     return found.withColumn("sim", jaccard(bigrams(F.col("part")), bigrams(F.col("name")))).filter(F.col("sim") >= least)
 
 
+def few_edits(a: Column, b: Column) -> Column:
+    """Whether edits to at most ``EDITS`` of the letters make one the other, whatever
+    the order of their words."""
+    in_order = lambda c: F.array_join(F.array_sort(F.split(c, " ")), " ")
+    most = F.greatest(F.lit(1), (F.greatest(F.length(a), F.length(b)) * EDITS).cast("int"))
+    return (F.levenshtein(a, b) <= most) | (F.levenshtein(in_order(a), in_order(b)) <= most)
+
+
 def matched(parts: DataFrame, names: DataFrame) -> DataFrame:
-    """``(part, name, sim)``: equal names, and for other parts the near ones."""
+    """``(part, name, sim)``: equal names, and for other parts the near ones that few
+    edits tell apart."""
     p = durable(parts.select("part").distinct())
     n = durable(names.select("name").distinct())
     same = p.join(n, p["part"] == n["name"], "left_semi").select("part", F.col("part").alias("name"), F.lit(1.0).alias("sim"))
     rest = p.join(n, p["part"] == n["name"], "left_anti")
-    return same.unionByName(similar(rest, n))
+    return same.unionByName(similar(rest, n).filter(few_edits(F.col("part"), F.col("name"))))
+
+
+def most_words(names: DataFrame) -> int:
+    """Words of the longest name of the list, at least one."""
+    return names.agg(F.max(F.size(F.split("name", " "))).alias("n")).first()["n"] or 1
 
 
-def _windows(words: Column) -> Column:
-    """Runs of one to WINDOW words, as ``(pos, text)``."""
+def _windows(words: Column, most: int) -> Column:
+    """Runs of one to ``most`` words, as ``(pos, text)``."""
 
     def runs(w: Column, k: int) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))), lambda i: i + k <= F.size(w))
         return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(w, i + 1, F.lit(k)), " ").alias("text")))
 
-    return let(words, lambda w: F.flatten(F.array(*[runs(w, k) for k in range(1, WINDOW + 1)])))
+    return let(words, lambda w: F.flatten(F.array(*[runs(w, k) for k in range(1, most + 1)])))
 
 
 def place_entries(places_ref: DataFrame) -> DataFrame:
     """``(name, ref_id, ups, depth)``: every name of an entry with its ancestors."""
     base = places_ref.filter("place_id is not null").groupBy("place_id").agg(F.max(F.struct("parent_id", "place_name", "alt_names")).alias("r")).select("place_id", "r.*")
-    up = base.select(F.col("place_id").alias("parent_id"), F.col("parent_id").alias("next"))
+    up = base.select(F.col("place_id").alias("above"), F.col("parent_id").alias("next"))
     lines = base.select("place_id", "place_name", "alt_names", "parent_id", F.array().cast("array<string>").alias("ups"))
-    for _ in range(3):  # country, province, county, town
-        lines = lines.join(up, "parent_id", "left").select(
-            "place_id", "place_name", "alt_names", F.when(F.col("parent_id").isNotNull(), F.concat("ups", F.array("parent_id"))).otherwise(F.col("ups")).alias("ups"), F.col("next").alias("parent_id")
+    while True:  # one level a round; a loop ends where it comes back
+        lines = durable(lines)
+        if lines.filter("parent_id is not null").isEmpty():
+            break
+        fresh = F.col("above").isNotNull() & (F.col("above") != F.col("place_id")) & ~F.array_contains("ups", F.col("parent_id"))
+        lines = lines.join(up, F.col("parent_id") == F.col("above"), "left").select(
+            "place_id", "place_name", "alt_names", F.when(fresh, F.col("next")).alias("parent_id"), F.when(fresh, F.concat("ups", F.array("parent_id"))).otherwise(F.col("ups")).alias("ups")
         )
     names = F.concat(F.array("place_name"), F.coalesce("alt_names", F.array().cast("array<string>")))
     return lines.select(F.explode(names).alias("raw"), F.col("place_id").alias("ref_id"), "ups", F.size("ups").alias("depth")).select(spelled(F.col("raw")).alias("name"), "ref_id", "ups", "depth").filter("name <> ''").distinct()
@@ -169,14 +182,14 @@ def match_places(values: DataFrame, places_ref: DataFrame) -> DataFrame:
     words = F.filter(F.split(F.translate(F.lower("value"), MARKED, PLAIN), r"[\s\p{Z}]+"), lambda w: w != "")
     parts = F.when(
         (F.size("levels") == 1) & (F.size(words) > 2),
-        F.transform(_windows(words), lambda w: F.struct(w["pos"].alias("pos"), spelled(w["text"]).alias("text"))),
+        F.transform(_windows(words, most_words(entries)), lambda w: F.struct(w["pos"].alias("pos"), spelled(w["text"]).alias("text"))),
     ).otherwise(F.transform("levels", lambda x, i: F.struct(i.alias("pos"), x.alias("text"))))
     parts = durable(levels.select("value", F.explode(parts).alias("p")).select("value", "p.pos", F.col("p.text").alias("part")).filter("part <> ''").distinct())
     found = matched(parts, entries).join(entries, "name").groupBy("part").agg(
         F.collect_set(F.struct("sim", "ref_id", "ups", "depth", F.size(F.split("name", " ")).alias("words"))).alias("c")
     )
-    near_to = durable(parts.join(found, "part").groupBy("value").agg(F.collect_list(F.struct("pos", "c")).alias("ps"))).join(levels.select("value", F.size("levels").alias("n")), "value")
-    scored = near_to.filter(~_is_list(F.col("ps"))).select(
+    near_to = parts.join(found, "part").groupBy("value").agg(F.collect_list(F.struct("pos", "c")).alias("ps"))
+    scored = near_to.select(
         "value",
         F.flatten(
             F.transform(
@@ -194,17 +207,7 @@ def match_places(values: DataFrame, places_ref: DataFrame) -> DataFrame:
     )
     best = scored.select("value", F.explode("s").alias("s")).groupBy("value").agg(F.max_by("s.ref_id", F.struct(F.round("s.score", 6), "s.depth", _descending("s.ref_id"))).alias("ref_id"), F.max("s.score").alias("score"))
     kept = best.select("value", F.when(F.col("score") >= PLACE_SUPPORT, F.col("ref_id")).alias("ref_id"))
-    lists = near_to.filter(_is_list(F.col("ps"))).select("value")
-    one = values.select("value").distinct().join(lists, "value", "left_anti")
-    return one.join(kept, "value", "left").select("value", F.coalesce("ref_id", F.lit("none")).alias("ref_id"))
-
-
-def _is_list(ps: Column) -> Column:
-    """Whether the levels are several places: each is surely the name of a lowest
-    entry, and none is above another."""
-    lowest = F.forall(ps, lambda p: F.exists(p["c"], lambda c: (c["sim"] == 1.0) & (c["depth"] == LOWEST)))
-    nested = F.exists(ps, lambda p: F.exists(p["c"], lambda c: F.exists(ps, lambda q: F.exists(q["c"], lambda d: F.array_contains(c["ups"], d["ref_id"])))))
-    return (F.size(ps) > 1) & (F.size(ps) == F.col("n")) & lowest & ~nested
+    return values.select("value").distinct().join(kept, "value", "left").select("value", F.coalesce("ref_id", F.lit("none")).alias("ref_id"))
 
 
 def _descending(ref: str) -> Column:
@@ -230,27 +233,22 @@ def match_words(values: DataFrame, ref: DataFrame, key: str, label: str, alt: st
     names = F.concat(F.array(label), F.coalesce(alt, F.array().cast("array<string>")))
     entries = durable(ref.filter(f"{key} is not null").select(F.explode(names).alias("raw"), F.col(key).alias("ref_id")).select(plain(F.col("raw")).alias("name"), "ref_id").filter("name <> ''").distinct())
     words = F.filter(F.split(plain(F.col("value")), " "), lambda w: w != "")
-    parts = durable(values.select("value", F.explode(_windows(words)).alias("w")).select("value", F.col("w.text").alias("part")).distinct())
+    parts = durable(values.select("value", F.explode(_windows(words, most_words(entries))).alias("w")).select("value", F.col("w.text").alias("part")).distinct())
     hits = parts.join(matched(parts, entries), "part").join(entries, "name")
     rank = F.struct((F.col("sim") + 0.1 * F.size(F.split("name", " "))).alias("r"), _descending("ref_id").alias("d"))
     best = hits.filter(F.col("sim") >= WORD_SUPPORT).groupBy("value").agg(F.max_by("ref_id", rank).alias("ref_id"))
     return values.select("value").distinct().join(best, "value", "left").select("value", F.coalesce("ref_id", F.lit("none")).alias("ref_id"))
 
 
-def _several(place: Column) -> Column:
-    """Whether separators outside quotation marks leave two or more values."""
-    bare = F.regexp_replace(F.regexp_replace(place, _QUOTED, "Q"), r"Q\s*,\s*(?=Q)", "Q;")
-    parts = F.filter(F.split(bare, SEPARATOR), lambda x: strip(x) != "")
-    return F.when(place.rlike(SEPARATOR + "|[\"'“«]"), F.size(parts) > 1).otherwise(F.lit(False))
-
-
 def canonical_values(event_records: DataFrame, places_ref: DataFrame, occupations_ref: DataFrame) -> DataFrame:
     """``(event_id, field_name, ref_id)`` of every freely typed place and occupation."""
     rows = event_records.filter("event_id is not null")
     places = rows.filter(strip(F.col("place")) != "").select("event_id", "place")
     listed = places_ref.filter("full_name is not null").select(F.col("full_name").alias("place")).distinct()
     free = places.select("place").distinct().join(listed, "place", "left_anti")
-    values = durable(free.filter(~_several(F.col("place"))).select(F.col("place").alias("value")))
+    # Which fields hold several values is learned from the whole column (problem 6).
+    several = packed_texts(places, "place").filter(F.size("vals") > 1).select(F.col("text").alias("place"))
+    values = durable(free.join(several, "place", "left_anti").select(F.col("place").alias("value")))
     of_place = durable(match_places(values, places_ref).withColumnRenamed("value", "place"))
     found = places.join(of_place, "place").select("event_id", F.lit("place").alias("field_name"), "ref_id").distinct()
 
