@@ -12,14 +12,14 @@ MONTHS = {"JAN": 1, "FEB": 2, "MAR": 3, "APR": 4, "MAY": 5, "JUN": 6, "JUL": 7,
 CALENDARS = {"JULIAN": "JULIAN", "OLD STYLE": "JULIAN", "GREGORIAN": "GREGORIAN", "NEW STYLE": "GREGORIAN"}
 #: Qualifiers, each with its code, the kind of date it makes, and its writings.
 QUALIFIERS = [
-    ("ABT", "approximate", "abt abt. about approx approx. approximately circa c c. around ca ca."),
-    ("BEF", "before", "before bef bef. pre pre-"),
-    ("AFT", "after", "after aft aft. post post- afterwards"),
-    ("BET", "range", "between bet bet. betw betw. btw btw."),
-    ("CAL", "calculated", "cal cal. calculated computed"),
-    ("EST", "estimated", "est est. estimated estimate guess guessed roughly probable assumed"),
-    ("FROM", "range_start", "from since"),
-    ("TO", "range_end", "to until thru through"),
+    ("ABT", "approximate", ("abt", "abt.", "about", "approx", "approx.", "approximately", "circa", "c", "c.", "around", "ca", "ca.")),
+    ("BEF", "before", ("before", "bef", "bef.", "pre", "pre-")),
+    ("AFT", "after", ("after", "aft", "aft.", "post", "post-", "afterwards")),
+    ("BET", "range", ("between", "bet", "bet.", "betw", "betw.", "btw", "btw.")),
+    ("CAL", "calculated", ("cal", "cal.", "calculated", "computed")),
+    ("EST", "estimated", ("est", "est.", "estimated", "estimate", "guess", "guessed", "roughly", "probable", "assumed")),
+    ("FROM", "range_start", ("from", "since")),
+    ("TO", "range_end", ("to", "until", "thru", "through")),
 ]
 #: Seasons.
 SEASONS = {"spring": "SPRING", "summer": "SUMMER", "autumn": "AUTUMN", "fall": "AUTUMN", "winter": "WINTER"}
@@ -100,8 +100,8 @@ def parse_date(raw: Column) -> Column:
             v["s"].alias("s"), v["calendar"].alias("calendar"), v["base"].alias("base"), words.alias("words"), head.alias("head"), rest.alias("rest"),
             F.when(head.isin("bet", "between", "btw", "betw", "ranging"), first_of("and")).when(head.isin("from", "since"), first_of("to", "until", "thru", "through")).otherwise(0).alias("cut"),
             F.when(head.isin("from", "since"), "FROM").otherwise("BET").alias("range"),
-            lookup({a: q for q, _, names in QUALIFIERS for a in names.split()}, head).alias("code"),
-            lookup({a: k for _, k, names in QUALIFIERS for a in names.split()}, head).alias("kind"),
+            lookup({a: q for q, _, names in QUALIFIERS for a in names}, head).alias("code"),
+            lookup({a: k for _, k, names in QUALIFIERS for a in names}, head).alias("kind"),
         )
         return let(facts, with_parts)
 

@@ -9,11 +9,11 @@ from kinspark.functions.dates import lineage_ymd, lookup
 from kinspark.functions.places import levels
 
 #: Event tags of individuals and of families.
-INDIVIDUAL_TAGS = "BIRT CHR CHRA BAPM BARM BASM BLES ADOP CONF FCOM GRAD ORDN EMIG IMMI NATU CENS PROB WILL RETI DEAT BURI CREM EVEN".split()
-FAMILY_TAGS = "MARR MARB MARC MARL MARS ENGA ANUL DIV DIVF".split()
+INDIVIDUAL_TAGS = ("BIRT", "CHR", "CHRA", "BAPM", "BARM", "BASM", "BLES", "ADOP", "CONF", "FCOM", "GRAD", "ORDN", "EMIG", "IMMI", "NATU", "CENS", "PROB", "WILL", "RETI", "DEAT", "BURI", "CREM", "EVEN")
+FAMILY_TAGS = ("MARR", "MARB", "MARC", "MARL", "MARS", "ENGA", "ANUL", "DIV", "DIVF")
 #: Tags that always name a role, and tags that never do.
-ROLE_TAGS = "HUSB WIFE CHIL ASSO ROLE".split()
-NO_ROLE_TAGS = "DATE PLAC NOTE SOUR CONC CONT MAP LATI LONG OBJE TYPE CAUS QUAY".split()
+ROLE_TAGS = ("HUSB", "WIFE", "CHIL", "ASSO", "ROLE")
+NO_ROLE_TAGS = ("DATE", "PLAC", "NOTE", "SOUR", "CONC", "CONT", "MAP", "LATI", "LONG", "OBJE", "TYPE", "CAUS", "QUAY")
 #: Names of event types and of roles.
 TYPES = {
     "BIRT": "Birth", "CHR": "Christening", "CHRA": "Adult Christening", "BAPM": "Baptism", "BARM": "Bar Mitzvah", "BASM": "Bas Mitzvah",

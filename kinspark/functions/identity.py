@@ -109,6 +109,18 @@ def uuid_for_record(tag: Column, value: Column, pointer: Column, lineno: Column,
     return uuid_from_key(F.concat(F.lit("REC|"), body))
 
 
+def uuid_for_inline_media(owner_uuid: Column, owner: Column, lineno: Column, path: Column, title: Column) -> Column:
+    """SHA-1 of ``IMEDIA|`` and what the attachment is, as JSON with sorted keys."""
+    body = F.concat(
+        F.lit('{"file": '), _json_text(path),
+        F.lit(', "lineno": '), F.coalesce(lineno.cast("string"), F.lit("null")),
+        F.lit(', "owner_pointer": '), _json_text(owner),
+        F.lit(', "owner_uuid": '), _json_text(owner_uuid),
+        F.lit(', "title": '), _json_text(title), F.lit("}"),
+    )
+    return uuid_from_key(F.concat(F.lit("IMEDIA|"), body))
+
+
 def place_version_id(place: Column, system: Column, year: Column) -> Column:
     """U10; ``..`` stands for an open year."""
     key = F.concat_ws("|", place, system, F.coalesce(year.cast("string"), F.lit("..")))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kinspark.functions.dates import let
+
 #: Closed lists of titles before names, of suffixes, and of surname prefixes.
-PREFIXES = "mr mister mrs misses ms miss dr doctor prof rev reverend sir lord lady hon fr sr".split()
-SUFFIXES = "jr sr ii iii iv v esq phd m.d md jd".split()
+PREFIXES = ("mr", "mister", "mrs", "misses", "ms", "miss", "dr", "doctor", "prof", "rev", "reverend", "sir", "lord", "lady", "hon", "fr", "sr")
+SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v", "esq", "phd", "m.d", "md", "jd")
 SURNAME_PREFIXES = [
     "de", "du", "del", "della", "van", "von", "der", "den", "la", "le", "de la", "de las", "de los",
     "van de", "van der", "von der", "von dem", "ap", "ab", "mac", "mc",
@@ -101,3 +103,31 @@ def split_value(value: Column) -> Column:
 def match_token(c: Column) -> Column:
     """Lower-case letters and digits only; ``unknown`` when none is left."""
     return F.coalesce(F.nullif(F.regexp_replace(F.lower(c), "[^a-z0-9]+", ""), F.lit("")), F.lit("unknown"))
+
+
+def merge_tags(value: Column, npfx: Column, givn: Column, spfx: Column, surn: Column, nsfx: Column) -> Column:
+    """split_value() with what stands in the lines under the name, which go
+    before it: ``struct(prefix, given, middle, surname_prefix, surname, suffix, full)``."""
+    words = F.split(clean(givn), " ")
+
+    def merged(p: Column) -> Column:
+        parts = {
+            "prefix": F.coalesce(clean(npfx), p["prefix"]),
+            "given": F.coalesce(F.element_at(words, 1), p["given"]),
+            "middle": F.when(givn.isNotNull(), F.nullif(F.array_join(F.slice(words, 2, 1 << 20), " "), F.lit(""))).otherwise(p["middle"]),
+            "surname_prefix": F.coalesce(clean(spfx), p["surname_prefix"]),
+            "surname": F.coalesce(clean(surn), p["surname"]),
+            "suffix": F.coalesce(clean(nsfx), p["suffix"]),
+        }
+        return F.struct(*[c.alias(k) for k, c in parts.items()], F.concat_ws(" ", *parts.values()).alias("full"))
+
+    return let(split_value(value), merged)
+
+
+def match_view(given: Column, surname: Column, value: Column) -> Column:
+    """The names by which people are compared; those of the value where the
+    fields have none: ``struct(given_norm, surname_norm)``."""
+    bare = F.regexp_replace(value, r"\([^)]*\)", " ")
+    first = F.element_at(F.split(clean(F.substring_index(bare, "/", 1)), " "), 1)
+    inner = clean(F.regexp_extract(value, "/([^/]+)/", 1))
+    return F.struct(match_token(F.coalesce(clean(given), first)).alias("given_norm"), match_token(F.coalesce(clean(surname), inner)).alias("surname_norm"))

@@ -37,6 +37,17 @@ def place_parts(c: Column, country_last: bool = True) -> Column:
     return F.struct(*[F.try_element_at(x, F.lit(i)).alias(n) for i, n in enumerate(("city", "county", "state"), 1)], country.alias("country"))
 
 
+def place_block(raw: Column, latitude: Column, longitude: Column) -> Column:
+    """``struct(raw, parts, latitude, longitude)`` of an event's place and its
+    coordinates as typed."""
+    return F.struct(raw.alias("raw"), place_parts(raw, country_last=False).alias("parts"), prefixed_degrees(latitude).alias("latitude"), prefixed_degrees(longitude).alias("longitude"))
+
+
+def place_text(parts: Column) -> Column:
+    """P10: the parts of a place as one text."""
+    return F.concat_ws(", ", *[F.nullif(parts[p], F.lit("")) for p in ("city", "county", "state", "country")])
+
+
 def hemisphere_degrees(c: Column) -> Column:
     """Signed degrees; a leading S or W makes them negative."""
     t = F.upper(F.trim(c))

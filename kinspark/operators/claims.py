@@ -7,6 +7,7 @@ primary one, the others its alternates.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kinspark.functions import events as ev
@@ -27,6 +28,26 @@ def choose_claims(claims: DataFrame) -> DataFrame:
     )
 
 
+def settle(claims: DataFrame) -> DataFrame:
+    """Every claim with its event's choice: the winner takes place 0 and the
+    others follow in their order, unless several are best: then all keep their
+    places and the event is ambiguous. ``(event_key, at, claim, date_text, place, score,
+    ambiguous)``."""
+    choice = choose_claims(claims).select("event_key", "winner", "ambiguous")
+    score = ev.claim_score(F.col("date_text"), F.col("place"), F.col("n_sources"), F.col("n_notes"))
+    rows = claims.withColumn("score", score).join(choice, "event_key")
+    first = F.when(F.col("winner").isNotNull() & (F.col("claim") == F.col("winner")), 0).otherwise(1)
+    at = F.row_number().over(W.partitionBy("event_key").orderBy(first, "claim")) - 1
+    return rows.select("event_key", at.alias("at"), "claim", "date_text", "place", "score", "ambiguous")
+
+
+def choice_counts(settled: DataFrame) -> DataFrame:
+    """``(n_events, n_with_alternates, n_resolved, n_ties)``."""
+    per = settled.groupBy("event_key").agg(F.count("*").alias("n"), F.max("ambiguous").alias("tie"))
+    many = F.col("n") > 1
+    return per.agg(F.count("*").alias("n_events"), F.count_if(many).alias("n_with_alternates"), F.count_if(many & ~F.col("tie")).alias("n_resolved"), F.count_if(many & F.col("tie")).alias("n_ties"))
+
+
 def cross_evidence(claims: DataFrame) -> DataFrame:
     """Per event the agreement of its claims less their severe conflicts,
     0-100; 100 where there is one claim. Claims alike are counted together, so the

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kinspark.functions.dates import first_year
@@ -25,7 +26,9 @@ def place_registry(events: DataFrame, owner_type: str = "owner_type", place: str
         F.min("place_normalized").alias("normalized"), F.count("*").alias("n_events"),
         F.count_if(F.col(owner_type) == "INDI").alias("n_individual"), F.count_if(F.col(owner_type) == "FAM").alias("n_family"),
     )
-    raws = e.select("place_id", F.col(place).alias("raw")).distinct().groupBy("place_id").agg(F.slice(F.array_sort(F.collect_set("raw")), 1, EXAMPLES).alias("raw_examples"))
+    at = F.row_number().over(W.partitionBy("place_id").orderBy("raw"))
+    few = e.select("place_id", F.col(place).alias("raw")).distinct().withColumn("at", at).filter(F.col("at") <= EXAMPLES)
+    raws = few.groupBy("place_id").agg(F.array_sort(F.collect_list("raw")).alias("raw_examples"))
     return counts.join(raws, "place_id")
 
 
@@ -69,10 +72,12 @@ def place_versions(refs: DataFrame) -> DataFrame:
     return refs.groupBy("place_version_id", "place_id", "js_id", "year").agg(F.count("*").alias("n_refs"), F.max("confidence").alias("confidence"))
 
 
-def merge_report(merges: DataFrame, versions: DataFrame) -> DataFrame:
-    """Merges that name versions which don't exist."""
-    ids = merges.select("merge_id", F.explode("from_place_version_ids").alias("place_version_id"))
-    return ids.join(versions.select("place_version_id"), "place_version_id", "left_anti")
+def merge_report(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """``(change_id, kind, side, place_version_id)`` of the merges and splits
+    that name versions which don't exist. ``changes``: ``(change_id, kind, from_ids,
+    to_ids)``; a merge has several versions before, a split several after."""
+    sides = [changes.select("change_id", "kind", F.lit(side).alias("side"), F.explode(f"{side}_ids").alias("place_version_id")) for side in ("from", "to")]
+    return sides[0].unionByName(sides[1]).join(versions.select("place_version_id"), "place_version_id", "left_anti").select("change_id", "kind", "side", "place_version_id")
 
 
 def integrity(events: DataFrame, places: DataFrame, refs: DataFrame, versions: DataFrame, systems: DataFrame) -> DataFrame:

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from kinspark.functions import events as ev
 from kinspark.functions.dates import age_between, parse_date
-from kinspark.functions.identity import is_pointer, normalize_pointer, uuid_for_event, uuid_for_pointer, uuid_from_key
+from kinspark.functions.identity import is_pointer, normalize_pointer, uuid_for_event, uuid_for_inline_media, uuid_for_pointer
 from kinspark.functions.places import event_place, hemisphere_degrees
 
 #: Tags of the records that become entities.
 ENTITIES = {"INDI": "individuals", "FAM": "families", "SOUR": "sources", "NOTE": "notes", "OBJE": "media_objects", "REPO": "repositories"}
 
+#: Ids per range in which new pointers are counted.
+IDS = 1 << 20
+
 
 def reference() -> Column:
     return F.coalesce(F.col("pointer"), F.when(is_pointer(F.trim("value")), F.trim("value")))
@@ -81,12 +84,14 @@ def linked_members(nodes: DataFrame) -> DataFrame:
 
 
 def sources(nodes: DataFrame) -> DataFrame:
-    """``(file, pointer, title, author, publication, repository)``, the last of each."""
+    """``(file, pointer, title, author, publication, repository, notes)``, the last of
+    each and all notes; other lines are in attributes()."""
     tag = F.upper("tag")
     last = lambda t, v: F.max_by(F.when(tag == t, v), F.when(tag == t, F.col("lineno")))
     kids = _first_level(nodes, "SOUR").groupBy("file", F.col("owner").alias("pointer")).agg(
         last("TITL", F.col("value")).alias("title"), last("AUTH", F.col("value")).alias("author"),
         last("PUBL", F.col("value")).alias("publication"), last("REPO", reference()).alias("repository"),
+        _sorted(F.nullif(F.trim("value"), F.lit("")), tag == "NOTE").alias("notes"),
     )
     return records(nodes, "SOUR").drop("record_lineno").join(kids, ["file", "pointer"], "left")
 
@@ -119,19 +124,23 @@ def media_files(nodes: DataFrame) -> DataFrame:
 
 
 def attachments(nodes: DataFrame) -> DataFrame:
-    """A1-A4: media attached to records; inline ones with a file are promoted to
-    media objects under an id of their place: ``(file, owner, lineno, kind, target,
-    path, form, title, media_object_id)``."""
+    """Media attached to records at any depth; inline ones with a file
+    are promoted to media objects: ``(file, owner, lineno, context, kind, target,
+    path, form, title, media_type, is_primary, media_object_id)``; ``context`` is the tag
+    under which the attachment stands."""
     own = nodes.filter("level = 0 and pointer is not null").select("file", F.col("lineno").alias("record_lineno"), normalize_pointer(F.col("pointer")).alias("owner"))
     tag = F.upper("tag")
-    rows = nodes.filter((F.col("level") == 1) & (tag == "OBJE")).join(own, ["file", "record_lineno"])
-    first = lambda t: F.min_by(F.when(tag == t, F.col("value")), F.when(tag == t, F.col("lineno")))
-    low = nodes.filter("level >= 2").groupBy("file", F.col("parent_lineno").alias("lineno")).agg(first("FILE").alias("path"), first("FORM").alias("form"), first("TITL").alias("title"))
+    above = nodes.select("file", F.col("lineno").alias("parent_lineno"), tag.alias("context"))
+    rows = nodes.filter((F.col("level") >= 1) & (tag == "OBJE")).join(own, ["file", "record_lineno"]).join(above, ["file", "parent_lineno"])
+    first = lambda *t: F.min_by(F.when(tag.isin(*t), F.col("value")), F.when(tag.isin(*t), F.col("lineno")))
+    low = nodes.filter("level >= 2").groupBy("file", F.col("parent_lineno").alias("lineno")).agg(
+        first("FILE").alias("path"), first("FORM").alias("form"), first("TITL").alias("title"), first("TYPE", "MEDI").alias("media_type"), first("_PRIM").alias("_prim")
+    )
     target = normalize_pointer(reference())
-    inline = F.when(F.coalesce("path", F.lit("")) != "", uuid_from_key(F.concat_ws("|", F.lit("OBJE"), "owner", F.col("lineno").cast("string"), "path")))
+    inline = F.when(F.coalesce("path", F.lit("")) != "", uuid_for_inline_media(uuid_for_pointer(F.col("owner")), F.col("owner"), F.col("lineno"), F.col("path"), F.col("title")))
     return rows.join(low, ["file", "lineno"], "left").select(
-        "file", "owner", "lineno", F.when(target.isNotNull(), "pointer").otherwise("inline").alias("kind"), target.alias("target"), "path", "form", "title",
-        F.coalesce(target, inline).alias("media_object_id"),
+        "file", "owner", "lineno", "context", F.when(target.isNotNull(), "pointer").otherwise("inline").alias("kind"), target.alias("target"), "path", "form", "title",
+        "media_type", F.coalesce(F.upper(F.trim("_prim")) == "Y", F.lit(False)).alias("is_primary"), F.coalesce(target, inline).alias("media_object_id"),
     )
 
 
@@ -149,17 +158,32 @@ def used_xrefs(nodes: DataFrame) -> DataFrame:
 
 
 def minted_xrefs(used: DataFrame, n: int) -> DataFrame:
-    """``(ord, xref)``: n new pointers ``@O<k>@`` that are not used."""
+    """``(ord, xref)``: n new pointers ``@O<k>@`` that are not used. An id's place is
+    itself less the ids before it that are taken; those are counted by ranges."""
     taken = used.select(F.regexp_extract("xref", "^@O([0-9]+)@$", 1).try_cast("bigint").alias("id")).filter("id is not null").distinct()
     # As many ids as are taken may be unusable, so this range is long enough.
-    ids = used.sparkSession.range(1, n + taken.count() + 1).join(taken, "id", "left_anti").orderBy("id").limit(n)
-    return ids.select(F.row_number().over(W.orderBy("id")).alias("ord"), F.concat(F.lit("@O"), F.col("id").cast("string"), F.lit("@")).alias("xref"))
+    ids = used.sparkSession.range(1, n + taken.count() + 1).join(taken, "id", "left_anti").withColumn("b", F.floor(F.col("id") / IDS))
+    counts = ids.groupBy("b").agg(F.count("*").alias("n"))
+    before = W.partitionBy(F.lit(0)).orderBy("b").rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    start = counts.select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    at = F.col("start") + F.row_number().over(W.partitionBy("b").orderBy("id"))
+    return ids.join(start, "b").withColumn("ord", at).filter(F.col("ord") <= n).select("ord", F.concat(F.lit("@O"), F.col("id").cast("string"), F.lit("@")).alias("xref"))
 
 
 def attributes(nodes: DataFrame) -> DataFrame:
-    """S3: first-level lines of individuals that no model covers."""
-    known = ["NAME", "SEX", "FAMS", "FAMC", "NOTE", "SOUR", "OBJE", *ev.INDIVIDUAL_TAGS, *ev.FAMILY_TAGS]
-    return _first_level(nodes, "INDI").filter(~F.upper("tag").isin(*known)).select("file", F.col("owner").alias("pointer"), "lineno", F.upper("tag").alias("tag"), "value")
+    """S3: first-level lines of individuals, families, sources, notes and media
+    objects that no model covers: ``(file, entity, pointer, lineno, tag, value)``."""
+    known = {
+        "INDI": ["NAME", "SEX", "FAMS", "FAMC", "NOTE", "SOUR", "OBJE", *ev.INDIVIDUAL_TAGS, *ev.FAMILY_TAGS],
+        "FAM": ["HUSB", "WIFE", "CHIL", "NOTE", "SOUR", "OBJE", *ev.INDIVIDUAL_TAGS, *ev.FAMILY_TAGS],
+        "SOUR": ["TITL", "AUTH", "PUBL", "REPO", "NOTE"], "NOTE": ["CONC", "CONT"], "OBJE": ["FILE", "FORM", "TITL"],
+    }
+    own = nodes.filter((F.col("level") == 0) & F.col("pointer").isNotNull()).select("file", F.col("lineno").alias("record_lineno"), F.upper("tag").alias("entity"), normalize_pointer(F.col("pointer")).alias("pointer"))
+    rows = nodes.filter("level = 1").drop("pointer").join(own, ["file", "record_lineno"])
+    open_ = F.lit(False)
+    for entity, tags in known.items():
+        open_ = open_ | ((F.col("entity") == entity) & ~F.upper("tag").isin(*tags))
+    return rows.filter(open_).select("file", "entity", "pointer", "lineno", F.upper("tag").alias("tag"), "value")
 
 
 def events(nodes: DataFrame) -> DataFrame:
@@ -211,8 +235,17 @@ def event_roles(nodes: DataFrame) -> DataFrame:
 
 
 def event_claims(e: DataFrame, owner: str = "owner", tag: str = "tag", order: str = "lineno") -> DataFrame:
-    """O3: competing claims of one event: the first is primary, the others its
-    alternates; ambiguous where any differs in date or place."""
+    """O3: competing claims of one event: the first is the primary one (claim 0), the
+    others its alternates; ``ambiguous`` where any differs in date or place."""
     w = W.partitionBy(owner, tag)
-    idx = F.row_number().over(w.orderBy(order)) - 1
-    return e.withColumn("claim", idx)
+    form = F.struct(F.col("date")["raw"], F.col("place"))
+    differ = F.min(form).over(w) != F.max(form).over(w)
+    return e.withColumns({"claim": F.row_number().over(w.orderBy(order)) - 1, "n_claims": F.count("*").over(w), "ambiguous": F.coalesce(differ, F.lit(False))})
+
+
+def repositories(nodes: DataFrame) -> DataFrame:
+    """``(file, pointer, name, address)`` of the repositories."""
+    tag = F.upper("tag")
+    first = lambda t: F.min_by(F.when(tag == t, F.col("value")), F.when(tag == t, F.col("lineno")))
+    kids = _first_level(nodes, "REPO").groupBy("file", F.col("owner").alias("pointer")).agg(first("NAME").alias("name"), first("ADDR").alias("address"))
+    return records(nodes, "REPO").drop("record_lineno").join(kids, ["file", "pointer"], "left")

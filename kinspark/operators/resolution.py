@@ -1,7 +1,8 @@
 """Duplicate people (K1-K14): blocking, similarity, clusters, merge plan, merges.
 
 ``people(person_id, given, surname, birth_year, place_id, place_raw, tags)``;
-given and surname as match tokens.
+given and surname as match tokens (``unknown`` where there is none), place_raw the
+place as typed, which counts where there is no place_id.
 """
 
 from __future__ import annotations
@@ -20,7 +21,17 @@ MIN_SCORE, REVIEW, AUTO = 0.75, 0.80, 0.92
 
 def block_key() -> Column:
     """K1."""
-    return F.concat_ws("|", "surname", F.coalesce(F.col("birth_year").cast("string"), F.lit("UNKNOWN")), F.coalesce("place_id", F.lit("UNKNOWN")))
+    return F.concat_ws("|", "surname", F.coalesce(F.col("birth_year").cast("string"), F.lit("UNKNOWN")), F.coalesce("place_id", "place_token", F.lit("UNKNOWN")))
+
+
+def place_token() -> Column:
+    """The typed place as a match token, null where nothing is left."""
+    return F.nullif(F.regexp_replace(F.lower("place_raw"), "[^a-z0-9]+", ""), F.lit(""))
+
+
+def block_sizes(people: DataFrame) -> DataFrame:
+    """``(block, n)``."""
+    return people.withColumn("place_token", place_token()).groupBy(block_key().alias("block")).agg(F.count("*").alias("n"))
 
 
 def _matching_blocks(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -50,20 +61,24 @@ def candidates(people: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 
     People of a block that are alike in all that is compared are compared once:
     pairs are those of different forms, and each form with itself."""
-    p = people
+    p = people.withColumn("place_token", place_token())
     if min_score > 0.7:
         p = p.filter("surname <> 'unknown' and birth_year is not null")
     p = p.withColumn("block", block_key()).withColumn("tags", F.array_sort("tags"))
-    forms = p.groupBy("block", "surname", "given", "birth_year", "place_id", "tags").agg(F.count("*").alias("n"))
+    key = ["block", "surname", "given", "birth_year", "place_id", "place_token", "tags"]
+    forms = p.groupBy(*key).agg(F.count("*").alias("n"))
     forms = durable(forms.withColumn("form", F.monotonically_increasing_id()))
-    right = forms.select("block", *[F.col(c).alias(c + "_b") for c in ("given", "birth_year", "place_id", "tags", "form")])
+    right = forms.select("block", *[F.col(c).alias(c + "_b") for c in ("given", "birth_year", "place_id", "place_token", "tags", "form")])
     pairs = forms.join(right, "block").filter("form < form_b or (form = form_b and n > 1)")
     # Within a block the surname, year and place are equal.
-    name = 0.7 * F.lit(1.0) + 0.3 * ratio(F.col("given"), F.col("given_b"))
-    place = F.when(F.col("place_id").isNotNull(), 1.0).otherwise(0.0)
+    known = (F.col("given") != "unknown") & (F.col("given_b") != "unknown")
+    given = F.when(known, ratio(F.col("given"), F.col("given_b"))).otherwise(0.0)
+    name = F.when(F.col("surname") == "unknown", 0.0).otherwise(0.7 + 0.3 * given)
+    both_ids, typed = F.col("place_id").isNotNull() & F.col("place_id_b").isNotNull(), F.coalesce("place_token", F.lit(""))
+    typed_b = F.coalesce("place_token_b", F.lit(""))
+    place = F.when(both_ids, 1.0).when((typed == "") & (typed_b == ""), 0.0).otherwise(ratio(typed, typed_b))
     score = 0.40 * name + 0.30 * birth_similarity(F.col("birth_year"), F.col("birth_year_b")) + 0.20 * place + 0.10 * tag_similarity(F.col("tags"), F.col("tags_b"))
     good = durable(pairs.withColumn("score", F.round(score, 9)).filter(F.col("score") >= min_score).select("form", "form_b", "score"))
-    key = ["block", "surname", "given", "birth_year", "place_id", "tags"]
     same = F.lit(True)
     q = p.select("person_id", *key)
     for c in key:
@@ -104,12 +119,31 @@ def apply_merges(people: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def merged_children(children: DataFrame, ids: DataFrame, key: str = "person_id") -> DataFrame:
+    """What hangs on people (names, events, families, notes, sources) under the
+    new ids: the merged person has all that its members had, each once."""
+    m = ids.select(F.col("person_id").alias(key), "new_id")
+    return children.join(m, key, "left").withColumn(key, F.coalesce("new_id", key)).drop("new_id").distinct()
+
+
 def rewrite_members(members: DataFrame, ids: DataFrame, member: str = "member") -> DataFrame:
     """Family members under their new ids, each once."""
     m = ids.select(F.col("person_id").alias(member), "new_id")
     return members.join(m, member, "left").withColumn(member, F.coalesce("new_id", member)).drop("new_id").distinct()
 
 
+def resolve(people: DataFrame, members: DataFrame, children: dict[str, DataFrame] | None = None, min_score: float = MIN_SCORE) -> dict[str, DataFrame]:
+    """The whole way from people to its three outputs: ``candidates``,
+    ``summary``, and the registry rewritten (``people``, ``members``, ``id_map`` and
+    every table of ``children``)."""
+    pairs = durable(candidates(people, min_score))
+    groups = clusters(pairs)
+    plan = durable(merge_plan(pairs, groups))
+    ids = durable(id_map(people, groups, plan))
+    out = {"candidates": pairs, "plan": plan, "summary": summary(people, plan, ids), "people": apply_merges(people, ids), "members": rewrite_members(members, ids), "id_map": ids}
+    return out | {name: merged_children(df, ids) for name, df in (children or {}).items()}
+
+
 def summary(people: DataFrame, plan: DataFrame, ids: DataFrame) -> DataFrame:
     """G8."""
     a = plan.agg(F.count("*").alias("n_clusters"), *[F.count_if(F.col("action") == x).alias(f"n_{x}") for x in ("auto_merge", "review", "no_merge")])

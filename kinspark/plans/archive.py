@@ -3,7 +3,10 @@ same tables."""
 
 from __future__ import annotations
 
+import difflib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kinspark.functions import dates, events as ev, identity, names, occupations, places
@@ -166,10 +169,17 @@ def place_versions(s, d):
 
 
 def place_integrity(s, d):
+    """Checks of tables into which faults of every kind are put."""
     e, sys = _events(s, d), place_registry.jurisdictions(s)
     refs = _refs(s, d)
-    places_ = place_registry.standardize(e).filter("place_id is not null").select("place_id").distinct()
-    return place_registry.integrity(e, places_, refs, place_registry.place_versions(refs), sys)
+    places_ = place_registry.standardize(e).filter("place_id is not null and place_id not like 'm%'").select("place_id").distinct()
+    lost = F.when(F.col("place_id").startswith("s"), "lost").otherwise(F.col("js_id"))
+    versions = place_registry.place_versions(refs).filter("year is not null").withColumn("js_id", lost)
+    bad = refs.withColumns({
+        "js_id": F.when(F.col("event_id") % 100 == 0, "other").otherwise(F.col("js_id")), "place_id": F.when(F.col("event_id") % 101 == 0, "nowhere").otherwise(F.col("place_id")),
+        "year": F.when(F.col("event_id") % 103 == 0, 10000).otherwise(F.col("year")),
+    })
+    return place_registry.integrity(e, places_, bad, versions, sys)
 
 
 def coordinates(s, d):
@@ -187,7 +197,8 @@ def occupations_found(s, d):
 
 def xref_links(s, d):
     i, f = read_table(s, d, "individuals"), read_table(s, d, "families")
-    return xref.resolve_links(i, "famc", f).select("pointer", "ref", "uuid").distinct()
+    both = [xref.resolve_links(i, field, f).select(F.lit(field).alias("field"), "pointer", "ref", "uuid").distinct() for field in ("famc", "fams")]
+    return both[0].unionByName(both[1])
 
 
 def xref_members(s, d):
@@ -242,14 +253,28 @@ def first_births(s, d):
     return claims.first_birth(e.filter("owner is not null")).select("owner", "tag", "event_id")
 
 
+GIVEN = ("john", "jon", "johan", "unknown")
+
+
 def _people(s, d):
+    """People with like and unknown names, years and places that are missing, and places
+    that were only typed."""
     k = F.col("c_custkey")
     return customers(s, d).select(
-        k.alias("person_id"), F.concat(F.lit("g"), (k % 3).cast("string")).alias("given"), F.lower("c_mktsegment").alias("surname"), (1900 + k % 7).cast("int").alias("birth_year"),
-        F.lower("n_name").alias("place_id"), F.when(k % 5 == 0, F.array(F.lit("BIRT"), F.lit("DEAT"))).otherwise(F.array(F.lit("BIRT"))).alias("tags"),
+        k.alias("person_id"), F.element_at(F.array(*map(F.lit, GIVEN)), (k % 4 + 1).cast("int")).alias("given"), F.lower("c_mktsegment").alias("surname"),
+        F.when(k % 17 != 0, (1900 + k % 7).cast("int")).alias("birth_year"), F.when(k % 11 != 0, F.lower("n_name")).alias("place_id"),
+        F.when((k % 11 != 0) | (k % 2 == 0), F.col("n_name")).alias("place_raw"), F.when(k % 5 == 0, F.array(F.lit("BIRT"), F.lit("DEAT"))).otherwise(F.array(F.lit("BIRT"))).alias("tags"),
     )
 
 
+def _family_rows(s, d):
+    """The customers of a nation as one family, the first and last as its heads."""
+    c, k = read_table(s, d, "customer"), F.col("c_custkey")
+    w = W.partitionBy("c_nationkey")
+    role = F.when(k == F.min(k).over(w), "HUSB").when(k == F.max(k).over(w), "WIFE").otherwise("CHIL")
+    return c.select(F.col("c_nationkey").alias("fam"), role.alias("role"), k.alias("member"))
+
+
 def er_candidates(s, d):
     return resolution.candidates(_people(s, d)).select("id1", "id2", F.round("score", 6).alias("score"))
 
@@ -275,18 +300,34 @@ def er_applied(s, d):
     return resolution.apply_merges(p, resolution.id_map(p, m, plan)).select("new_id", "n_sources", "first_source", "given", "surname")
 
 
+def _resolved(s, d):
+    names_ = read_table(s, d, "customer").select(F.col("c_custkey").alias("person_id"), F.substring("c_name", 10, 8).alias("name"))
+    return resolution.resolve(_people(s, d), _family_rows(s, d), {"names": names_})
+
+
 def er_summary(s, d):
-    p = _people(s, d)
-    _, m, plan = _plan(s, d)
-    return resolution.summary(p, plan, resolution.id_map(p, m, plan))
+    return _resolved(s, d)["summary"]
+
+
+def er_members(s, d):
+    return _resolved(s, d)["members"].select("fam", "role", "member")
+
+
+def er_names(s, d):
+    """All names of each person after the merge."""
+    return _resolved(s, d)["names"].select("person_id", "name")
+
+
+def er_blocks(s, d):
+    return resolution.block_sizes(_people(s, d)).filter("n > 1").groupBy("n").agg(F.count("*").alias("n_blocks"))
 
 
 def graph_edges(s, d):
-    return graph.edges(*(read_table(s, d, t) for t in ("families", "event_records", "citations"))).groupBy("kind").agg(F.count("*").alias("n"))
+    return graph.edges(*(read_table(s, d, t) for t in ("families", "event_records", "citations"))).select("src", "dst", "kind")
 
 
 def graph_vertices(s, d):
-    return graph.vertices(*(read_table(s, d, t) for t in ("individuals", "families", "event_records", "source_records"))).groupBy("kind").agg(F.count("*").alias("n"))
+    return graph.vertices(*(read_table(s, d, t) for t in ("individuals", "families", "event_records", "source_records"))).select("id", "kind")
 
 
 def kin_components(s, d):
@@ -308,7 +349,7 @@ QUERIES = {f.__name__: f for f in (
     births_by_place_and_year, tokenize_lines, line_errors, tree_parents, level_jumps, record_tags, folded_notes, lines_round_trip, entity_counts, individuals, person_names,
     family_members, events_extracted, event_roles, date_parse, date_years, ages, uuids, name_index, names_by_lists, place_standard, place_parts, place_counts, place_tree,
     place_versions, place_integrity, coordinates, occupations_found, xref_links, xref_members, xref_index, event_choice, event_points, event_scores, score_summary,
-    person_scores, first_births, er_candidates, er_clusters, er_merge_plan, er_applied, er_summary, graph_edges, graph_vertices, kin_components, media_files,
+    person_scores, first_births, er_candidates, er_clusters, er_merge_plan, er_applied, er_summary, er_members, er_names, er_blocks, graph_edges, graph_vertices, kin_components, media_files,
 )}
 
 _C = "(SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
@@ -330,10 +371,18 @@ _SQUEEZE = "trim(regexp_replace({0}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
 _SHA = "substr(sha1({0}),1,8) || '-' || substr(sha1({0}),9,4) || '-' || substr(sha1({0}),13,4) || '-' || substr(sha1({0}),17,4) || '-' || substr(sha1({0}),21,12)"
 _LEVELS = "list_filter(list_transform(string_split(place, ','), lambda x: trim(x, ' ' || chr(160) || chr(9) || chr(10) || chr(13))), lambda x: x <> '')"
 _PID = f"nullif(lower({_SQUEEZE.format('place')}), '')"
-_ER = """p AS (SELECT c_custkey AS id, c_custkey % 3 AS g, c_custkey % 5 = 0 AS two, lower(c_mktsegment) || (1900 + c_custkey % 7) || c_nationkey AS block FROM customer),
-c AS (SELECT a.id AS id1, b.id AS id2, round(CAST(0.4 * (0.7 + 0.3 * (CASE WHEN a.g = b.g THEN 1 ELSE 0.5 END)) + 0.3 + 0.2 + 0.1 * (CASE WHEN a.two = b.two THEN 1 ELSE 0.5 END) AS DOUBLE), 6) AS score FROM p a JOIN p b ON a.block = b.block AND a.id < b.id),
+_RATIOS = ", ".join(f"({i}, {j}, {0.0 if 'unknown' in (x, y) else difflib.SequenceMatcher(None, x, y).ratio()}::DOUBLE)" for i, x in enumerate(GIVEN) for j, y in enumerate(GIVEN))
+_ER = f"""p AS (SELECT c_custkey AS id, c_custkey % 4 AS g, c_custkey % 5 = 0 AS two, c_custkey % 17 <> 0 AS dated,
+  CASE WHEN c_custkey % 11 <> 0 THEN lower(n_name) WHEN c_custkey % 2 = 0 THEN regexp_replace(lower(n_name), '[^a-z0-9]+', '', 'g') ELSE 'UNKNOWN' END AS place,
+  lower(c_mktsegment) || '|' || CASE WHEN c_custkey % 17 <> 0 THEN CAST(1900 + c_custkey % 7 AS VARCHAR) ELSE 'UNKNOWN' END AS who FROM {_C} c),
+r(g1, g2, sim) AS (VALUES {_RATIOS}),
+c AS (SELECT a.id AS id1, b.id AS id2, round(0.4::DOUBLE * (0.7::DOUBLE + 0.3::DOUBLE * r.sim) + 0.3::DOUBLE + 0.2::DOUBLE * CASE WHEN a.place = 'UNKNOWN' THEN 0 ELSE 1 END + 0.1::DOUBLE * CASE WHEN a.two = b.two THEN 1 ELSE 0.5::DOUBLE END, 6) AS score
+  FROM p a JOIN p b ON a.who = b.who AND a.place = b.place AND a.id < b.id AND a.dated JOIN r ON r.g1 = a.g AND r.g2 = b.g),
 cand AS (SELECT * FROM c WHERE score >= 0.75),
-m AS (SELECT p.id AS person_id, min(q.id) OVER (PARTITION BY p.block) AS cluster FROM p JOIN p q ON q.id = p.id WHERE p.block IN (SELECT block FROM p GROUP BY 1 HAVING count(*) > 1)),
+both_ways AS (SELECT id1 AS a, id2 AS b FROM cand UNION SELECT id2, id1 FROM cand),
+cc(person_id, cluster) USING KEY (person_id) AS (SELECT DISTINCT a, a FROM both_ways
+  UNION SELECT e.b, min(cc.cluster) FROM cc JOIN both_ways e ON e.a = cc.person_id JOIN recurring.cc k ON k.person_id = e.b WHERE cc.cluster < k.cluster GROUP BY e.b),
+m AS (SELECT person_id, cluster FROM cc),
 size AS (SELECT cluster, count(*) AS n_members FROM m GROUP BY 1),
 plan AS (SELECT m.cluster, any_value(n_members) AS n_members, count(*) AS n_pairs, CASE WHEN count(*) < any_value(n_members) * (any_value(n_members) - 1) / 2 THEN CAST(0.0 AS DOUBLE) ELSE min(score) END AS min_score, max(score) AS max_score
   FROM cand JOIN m ON m.person_id = cand.id1 JOIN size ON size.cluster = m.cluster GROUP BY m.cluster),
@@ -356,6 +405,33 @@ _GOOD = {
 }
 
 
+_PAIRS = """toks AS (SELECT event_id, list_distinct(list_transform(LV, lambda x: lower(x))) AS t FROM ev)""".replace("LV", f"coalesce({_LEVELS}, [])")
+_TOL = "'primary' WHEN hybrid < 40 THEN 'low_confidence' ELSE 'alternate'"
+
+
+def _scores_sql(years: str, points: str) -> str:
+    """The scores of events, from the SQL of date_years and event_points."""
+    return f"""WITH {_EV}, {_PAIRS}, dy AS ({years}), ep AS ({points}),
+e AS (SELECT ev.event_id, {_OWN} AS owner, upper(trim(tag)) AS tag, coalesce(date_text, '') AS dt, coalesce(place, '') AS pl, {_NSRC} AS ns, dy.y, dy.m, dy.p, toks.t FROM ev JOIN dy USING (event_id) JOIN toks USING (event_id) WHERE owner_pointer IS NOT NULL),
+prs AS (SELECT a.owner, a.tag, a.dt <> '' OR b.dt <> '' AS dated, a.pl <> '' OR b.pl <> '' AS placed, coalesce(abs(a.y - b.y) = 0 OR (abs(a.y - b.y) = 1 AND a.m IS NOT NULL AND a.m = b.m), false) AS same, coalesce(abs(a.y - b.y) >= 10, false) AS far,
+  list_has_any(a.t, b.t) AS near, len(a.t) > 0 AND len(b.t) > 0 AND NOT list_has_any(a.t, b.t) AS apart FROM e a JOIN e b ON a.owner = b.owner AND a.tag = b.tag AND a.event_id < b.event_id),
+cx AS (SELECT owner, tag, floor(100 * (0.5::DOUBLE * CASE WHEN count_if(dated) > 0 THEN count_if(dated AND same) / count_if(dated) ELSE 1.0::DOUBLE END + 0.5::DOUBLE * CASE WHEN count_if(placed) > 0 THEN count_if(placed AND near) / count_if(placed) ELSE 1.0::DOUBLE END)) AS agree,
+  count_if(dated AND far) + count_if(placed AND apart) AS severe FROM prs GROUP BY owner, tag),
+life AS (SELECT owner, arg_max_null(y, event_id) FILTER (tag = 'BIRT' AND dt <> '') AS b, arg_max_null(y, event_id) FILTER (tag = 'DEAT' AND dt <> '') AS d FROM e GROUP BY owner),
+z AS (SELECT e.*, CASE WHEN coalesce(b, 0) <> 0 AND coalesce(d, 0) <> 0 AND d < b THEN 10 WHEN coalesce(b, 0) <> 0 AND coalesce(d, 0) <> 0 AND d - b > 120 THEN 20 ELSE 25 END AS life, coalesce(greatest(0, least(100, agree - least(100, 10 * severe))), 100) AS consistency,
+  ep.date_points, ep.place_points, ep.field_points, ep.evidence FROM e JOIN ep USING (event_id) LEFT JOIN life USING (owner) LEFT JOIN cx ON cx.owner = e.owner AND cx.tag = e.tag),
+h AS (SELECT *, least(100, date_points + place_points + field_points + life) AS completeness FROM z),
+k AS (SELECT *, CAST(greatest(0, least(100, round_even(0.4::DOUBLE * completeness + 0.4::DOUBLE * consistency + 0.2::DOUBLE * evidence, 0))) AS INTEGER) AS hybrid FROM h)
+SELECT event_id, owner, tag, CAST(completeness AS INTEGER) AS completeness, CAST(consistency AS INTEGER) AS consistency, CAST(evidence AS INTEGER) AS evidence, hybrid, CASE WHEN hybrid >= 70 THEN {_TOL} END AS ranking,
+ concat_ws(' ', CASE WHEN dt = '' THEN 'no_date' WHEN p IN (1, 2) THEN 'partial_date' WHEN p = 0 THEN 'unrecognized_date_format' END, CASE WHEN pl = '' THEN 'no_place' WHEN len(t) = 0 THEN 'ambiguous_place' END,
+  CASE WHEN ns <= 0 THEN 'no_sources' END, CASE life WHEN 10 THEN 'death_before_birth' WHEN 20 THEN 'unrealistic_lifespan' END, CASE WHEN life < 25 THEN 'conflicts_with_other_events' END) AS flags FROM k"""
+
+
+def _summary_sql(scores: str, by: str = "") -> str:
+    head, tail = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return f"""SELECT {head}count(*) AS n_events, round(avg(hybrid), 6) AS avg_hybrid, min(hybrid) AS min_hybrid, max(hybrid) AS max_hybrid, count_if(hybrid < 40) AS n_low, count_if(contains(flags, 'conflicts')) AS n_conflicts FROM ({scores}) s{tail}"""
+
+
 def _simple_sql(t: str) -> str:
     u = f"upper({t})"
     return (
@@ -410,13 +486,19 @@ SELECT n || ', ' || r || ', earth' AS place_id, r || ', earth' AS parent_id, CAS
 UNION ALL SELECT r || ', earth', 'earth', 2, true, count(*) FROM c GROUP BY r UNION ALL SELECT 'earth', NULL, 1, true, count(DISTINCT r) FROM c""",
     "place_versions": f"""WITH {_EV}, y AS (SELECT {_PID} AS place_id, coalesce(try_cast(nullif(regexp_extract(date_text, '(^|[^0-9])([0-9]{{4}})([^0-9]|$)', 2), '') AS BIGINT), try_cast(nullif(regexp_extract(value_text, '(^|[^0-9])([0-9]{{4}})([^0-9]|$)', 2), '') AS BIGINT)) AS year FROM ev WHERE {_PID} IS NOT NULL)
 SELECT 'pv_' || substr(sha1(place_id || '|default|' || coalesce(CAST(year AS VARCHAR), '..')), 1, 20) AS place_version_id, place_id, 'default' AS js_id, year, count(*) AS n_refs FROM y GROUP BY place_id, year""",
-    "place_integrity": "SELECT unnest(['event_place', 'version_place', 'version_system', 'ref_version', 'ref_system', 'ref_same_place', 'ref_year']) AS rule, 0 AS n_bad",
+    "place_integrity": f"""WITH {_EV}, y AS (SELECT event_id, {_PID} AS place_id, coalesce(try_cast(nullif(regexp_extract(date_text, '(^|[^0-9])([0-9]{{4}})([^0-9]|$)', 2), '') AS BIGINT), try_cast(nullif(regexp_extract(value_text, '(^|[^0-9])([0-9]{{4}})([^0-9]|$)', 2), '') AS BIGINT)) AS year FROM ev WHERE {_PID} IS NOT NULL),
+v AS (SELECT DISTINCT place_id, year FROM y WHERE year IS NOT NULL)
+SELECT 'event_place' AS rule, (SELECT count(*) FROM y WHERE place_id LIKE 'm%') AS n_bad UNION ALL SELECT 'version_place', (SELECT count(*) FROM v WHERE place_id LIKE 'm%')
+UNION ALL SELECT 'version_system', (SELECT count(*) FROM v WHERE place_id LIKE 's%') UNION ALL SELECT 'ref_version', (SELECT count(*) FROM y WHERE year IS NULL)
+UNION ALL SELECT 'ref_system', (SELECT count(*) FROM y WHERE event_id % 100 = 0) UNION ALL SELECT 'ref_same_place', (SELECT count(*) FROM y WHERE event_id % 101 = 0)
+UNION ALL SELECT 'ref_year', (SELECT count(*) FROM y WHERE event_id % 103 = 0 OR year < 1)""",
     "coordinates": "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN -abs(floor(s_acctbal)) ELSE abs(floor(s_acctbal)) END AS degrees, CASE WHEN s_suppkey % 3 = 0 THEN -abs(floor(s_acctbal)) ELSE abs(floor(s_acctbal)) END AS prefixed FROM supplier",
     "occupations_found": """WITH v AS (SELECT unnest(list_prepend(label, coalesce(alt_labels, []))) AS variant, label AS canonical FROM occupations_ref),
 n AS (SELECT trim(regexp_replace(lower(variant), '[^a-z0-9]+', ' ', 'g')) AS variant, canonical FROM v), t AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS t FROM documents WHERE doc_id IS NOT NULL)
 SELECT DISTINCT doc_id, canonical FROM t JOIN n ON contains(t, ' ' || variant || ' ')""",
-    "xref_links": f"""WITH r AS (SELECT {pointer_sql('pointer')} AS pointer, unnest(famc) AS raw FROM individuals), x AS (SELECT DISTINCT pointer, {pointer_sql('raw')} AS ref FROM r WHERE {pointer_sql('raw')} IS NOT NULL),
-k AS (SELECT DISTINCT {pointer_sql('pointer')} AS ref FROM families) SELECT x.pointer, x.ref, CASE WHEN k.ref IS NOT NULL THEN {_SHA.format("'PTR|' || x.ref")} END AS uuid FROM x LEFT JOIN k ON k.ref = x.ref""",
+    "xref_links": f"""WITH r AS (SELECT 'famc' AS field, {pointer_sql('pointer')} AS pointer, unnest(famc) AS raw FROM individuals UNION ALL SELECT 'fams', {pointer_sql('pointer')}, unnest(fams) FROM individuals),
+x AS (SELECT DISTINCT field, pointer, {pointer_sql('raw')} AS ref FROM r WHERE {pointer_sql('raw')} IS NOT NULL),
+k AS (SELECT DISTINCT {pointer_sql('pointer')} AS ref FROM families) SELECT x.field, x.pointer, x.ref, CASE WHEN k.ref IS NOT NULL THEN {_SHA.format("'PTR|' || x.ref")} END AS uuid FROM x LEFT JOIN k ON k.ref = x.ref""",
     "xref_members": f"""WITH {_MEM}, k AS (SELECT DISTINCT {pointer_sql('pointer')} AS member FROM individuals)
 SELECT fam, role, mem.member, CASE WHEN k.member IS NOT NULL THEN {_SHA.format("'PTR|' || mem.member")} END AS uuid FROM mem LEFT JOIN k ON k.member = mem.member""",
     "xref_index": f"""WITH a AS (SELECT 'individuals' AS rec_type, {pointer_sql('pointer')} AS pointer, uuid FROM individuals UNION ALL SELECT 'families', {pointer_sql('pointer')}, uuid FROM families UNION ALL SELECT 'source_records', {pointer_sql('pointer')}, NULL FROM source_records)
@@ -433,18 +515,30 @@ SELECT event_key, count(*) AS n_claims, CAST(max(best) AS BIGINT) AS best_score,
  CAST(least(25, 8 * CAST(coalesce(date_text, '') <> '' AS INTEGER) + 8 * CAST(coalesce(place, '') <> '' AS INTEGER) + 5 * CAST({_NSRC} > 0 AS INTEGER)) AS BIGINT) AS field_points,
  CAST(CASE WHEN {_NSRC} <= 0 THEN 10 WHEN {_NSRC} = 1 THEN 40 WHEN {_NSRC} = 2 THEN 60 ELSE 100 END AS BIGINT) AS evidence FROM ev""",
     "first_births": f"WITH {_EV}, e AS (SELECT {_OWN} AS owner, upper(trim(tag)) AS tag, event_id FROM ev) SELECT owner, tag, event_id FROM (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY tag <> 'BIRT', event_id) AS rn FROM e WHERE tag IN ('BIRT', 'CHR', 'BAPM') AND owner IS NOT NULL) t WHERE rn = 1",
-    "er_candidates": f"WITH {_ER} SELECT id1, id2, score FROM cand",
-    "er_merge_plan": f"WITH {_ER} SELECT cluster, n_members, n_pairs, min_score, max_score, action FROM act",
-    "er_clusters": f"WITH {_ER} SELECT person_id, cluster FROM m",
-    "er_applied": f"WITH {_ER} SELECT new_id, count(*) AS n_sources, min(ids.id) AS first_source, 'g' || arg_min(g, ids.id) AS given, lower(arg_min(c_mktsegment, ids.id)) AS surname FROM ids JOIN customer ON c_custkey = ids.id GROUP BY new_id",
-    "er_summary": f"WITH {_ER} SELECT (SELECT count(*) FROM ids) AS n_in, (SELECT count(DISTINCT new_id) FROM ids) AS n_out, count(*) AS n_clusters, count_if(action = 'auto_merge') AS n_auto_merge, count_if(action = 'review') AS n_review, count_if(action = 'no_merge') AS n_no_merge FROM act",
+    "er_candidates": f"WITH RECURSIVE {_ER} SELECT id1, id2, score FROM cand",
+    "er_merge_plan": f"WITH RECURSIVE {_ER} SELECT cluster, n_members, n_pairs, min_score, max_score, action FROM act",
+    "er_clusters": f"WITH RECURSIVE {_ER} SELECT person_id, cluster FROM m",
+    "er_applied": f"WITH RECURSIVE {_ER} SELECT new_id, count(*) AS n_sources, min(ids.id) AS first_source, (['john', 'jon', 'johan', 'unknown'])[arg_min(g, ids.id) + 1] AS given, lower(arg_min(c_mktsegment, ids.id)) AS surname FROM ids JOIN customer ON c_custkey = ids.id GROUP BY new_id",
+    "er_summary": f"WITH RECURSIVE {_ER} SELECT (SELECT count(*) FROM ids) AS n_in, (SELECT count(DISTINCT new_id) FROM ids) AS n_out, count(*) AS n_clusters, count_if(action = 'auto_merge') AS n_auto_merge, count_if(action = 'review') AS n_review, count_if(action = 'no_merge') AS n_no_merge FROM act",
+    "er_members": f"""WITH RECURSIVE {_ER}, f AS (SELECT c_nationkey AS fam, CASE WHEN c_custkey = min(c_custkey) OVER w THEN 'HUSB' WHEN c_custkey = max(c_custkey) OVER w THEN 'WIFE' ELSE 'CHIL' END AS role, c_custkey AS k FROM customer WINDOW w AS (PARTITION BY c_nationkey))
+SELECT DISTINCT fam, role, new_id AS member FROM f JOIN ids ON ids.id = f.k""",
+    "er_names": f"WITH RECURSIVE {_ER} SELECT DISTINCT new_id AS person_id, substr(c_name, 10, 8) AS name FROM ids JOIN customer ON c_custkey = ids.id",
+    "er_blocks": f"WITH RECURSIVE {_ER} SELECT n, count(*) AS n_blocks FROM (SELECT count(*) AS n FROM p GROUP BY who, place HAVING count(*) > 1) t GROUP BY n",
     "graph_edges": f"""WITH {_MEM}, e AS (SELECT DISTINCT event_id, {_OWN} AS owner, {_PID} AS place FROM event_records WHERE event_id IS NOT NULL),
 x AS (SELECT k.member AS src, s.member AS dst, 'PARENT' AS kind FROM mem k JOIN mem s ON s.fam = k.fam AND s.role IN ('HUSB', 'WIFE') WHERE k.role = 'CHIL'
  UNION SELECT h.member, w.member, 'SPOUSE' FROM mem h JOIN mem w ON w.fam = h.fam WHERE h.role = 'HUSB' AND w.role = 'WIFE'
  UNION SELECT 'E' || event_id, owner, 'EVENT_OF' FROM e WHERE owner IS NOT NULL UNION SELECT place, 'E' || event_id, 'PLACE_OF' FROM e WHERE place IS NOT NULL
  UNION SELECT {pointer_sql('source_xref')}, {_OWN}, 'SOURCE_OF' FROM citations WHERE {pointer_sql('source_xref')} IS NOT NULL AND {_OWN} IS NOT NULL)
-SELECT kind, count(*) AS n FROM x GROUP BY kind""",
+SELECT src, dst, kind FROM x""",
     "graph_vertices": f"""WITH x AS (SELECT {pointer_sql('pointer')} AS id, 'INDI' AS kind FROM individuals UNION SELECT {pointer_sql('pointer')}, 'FAM' FROM families UNION SELECT {pointer_sql('pointer')}, 'SOURCE' FROM source_records
- UNION SELECT 'E' || event_id, 'EVENT' FROM event_records UNION SELECT {_PID}, 'PLACE' FROM event_records) SELECT kind, count(*) AS n FROM x WHERE id IS NOT NULL GROUP BY kind""",
+ UNION SELECT 'E' || event_id, 'EVENT' FROM event_records UNION SELECT {_PID}, 'PLACE' FROM event_records) SELECT id, kind FROM x WHERE id IS NOT NULL""",
     "media_files": "SELECT '@M' || p_partkey || '@' AS pointer, p_partkey || '.JPG' AS basename, 'jpg' AS extension, 'jpeg' AS form, 'photo' AS media_type, p_name AS title FROM part",
 }
+
+ORACLES["event_scores"] = _scores_sql(ORACLES["date_years"], ORACLES["event_points"])
+ORACLES["score_summary"] = _summary_sql(ORACLES["event_scores"])
+ORACLES["person_scores"] = _summary_sql(ORACLES["event_scores"], "owner")
+ORACLES["kin_components"] = f"""WITH RECURSIVE {_MEM}, link AS (SELECT fam AS a, member AS b FROM mem WHERE fam <> member UNION SELECT member, fam FROM mem WHERE fam <> member),
+cc(node, c) USING KEY (node) AS (SELECT DISTINCT a, a FROM link
+  UNION SELECT e.b, min(cc.c) FROM cc JOIN link e ON e.a = cc.node JOIN recurring.cc k ON k.node = e.b WHERE cc.c < k.c GROUP BY e.b)
+SELECT c AS component, count(*) AS n FROM cc GROUP BY c"""

@@ -6,15 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinspark.plans import archive, training
+from kinspark.plans import archive, records, training
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**archive.QUERIES, **training.QUERIES}
+    return {**archive.QUERIES, **records.QUERIES, **training.QUERIES}
 
 
 def oracles() -> dict[str, str]:
-    return {**archive.ORACLES, **training.ORACLES}
+    return {**archive.ORACLES, **records.ORACLES, **training.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

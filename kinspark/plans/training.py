@@ -115,7 +115,19 @@ fall(tbl, row_key, steps) USING KEY (tbl, row_key) AS (SELECT tbl, row_key, 0 FR
   WHERE NOT EXISTS (SELECT 1 FROM recurring.fall g WHERE g.tbl = u.tbl AND g.row_key = u.row_key)),
 heir AS (SELECT tbl, row_key, CAST(steps AS INTEGER) AS steps FROM fall WHERE steps > 0)"""
 
+# Objects among the children, whatever shape holds them; arrays nest up to four deep here.
+_FLAT = "flatten(list_transform({0}, lambda e: CASE json_type(e) WHEN 'ARRAY' THEN json_extract(e, '$[*]') ELSE [e] END))"
+_KIDS = "list_filter(" + _FLAT.format(_FLAT.format(_FLAT.format(_FLAT.format("[c]")))) + ", lambda e: json_type(e) = 'OBJECT')"
+_TREE = f"""bodies AS (SELECT record_id, CAST(any_value(body) AS JSON) AS v FROM raw_records WHERE record_id IS NOT NULL AND json_valid(body) GROUP BY record_id),
+tree(record_id, path, up, v) AS (SELECT record_id, '0', '', v FROM bodies WHERE json_type(v) = 'OBJECT'
+  UNION ALL SELECT record_id, path || '.' || (i - 1), path, kids[i] FROM (SELECT record_id, path, kids, unnest(range(1, len(kids) + 1)) AS i FROM (SELECT record_id, path, {_KIDS} AS kids FROM (
+    SELECT record_id, path, CASE WHEN json_type(k) = 'VARCHAR' THEN CASE WHEN json_valid(k ->> '$') THEN CAST(k ->> '$' AS JSON) END ELSE k END AS c FROM (SELECT record_id, path, json_extract(v, '$.children') AS k FROM tree)) WHERE c IS NOT NULL))),
+nodes AS (SELECT record_id, path AS node_path, up AS parent_path, CASE WHEN json_type(v, '$.tag') = 'VARCHAR' THEN upper(regexp_replace(v ->> '$.tag', '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')) END AS tag,
+  CASE WHEN json_type(v, '$.value') NOT IN ('NULL', 'OBJECT', 'ARRAY') THEN v ->> '$.value' END AS value FROM tree)"""
+
 ORACLES = {
+    "p2_found": f"WITH RECURSIVE {_TREE} SELECT record_id, node_path, parent_path, tag FROM nodes",
+    "p2_tags": f"WITH RECURSIVE {_TREE} SELECT tag, count(*) AS n_nodes, count(value) AS n_values, max(len(string_split(node_path, '.'))) AS deepest FROM nodes GROUP BY tag",
     "p3_found": f"""WITH RECURSIVE {_LINKS}
 SELECT ind.node AS pointer, coalesce(walk.root, 'cycle') AS root_pointer, CAST(coalesce(walk.depth, -1) AS INTEGER) AS node_depth, coalesce(walk.path, '') AS node_path
 FROM ind LEFT JOIN walk ON walk.node = ind.node""",

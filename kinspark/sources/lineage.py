@@ -3,17 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: level, pointer, tag, value of a line; a pointer must be followed by a tag.
 LINE = r"(?s)^([0-9]+) +(?:(@[^ ]*) +([^ ]+)|([^ @][^ ]*))(?: (.*))?$"
 
 
+def split_rows(text: DataFrame) -> DataFrame:
+    """Rows of the text source as ``(file, _block, raw)``: the file and split of each line."""
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.make_valid_utf8("value").alias("raw"))
+
+
+def number_lines(rows: DataFrame) -> DataFrame:
+    """``(file, lineno, raw)`` of split_rows(): non-blank lines, numbered from 1 with
+    blank ones counted. A line's number is its place in its split and the lines of the
+    splits before, of which a table of one row per split keeps count."""
+    rows = rows.withColumn("_id", F.monotonically_increasing_id())
+    splits = rows.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
+    splits = splits.select("file", "_block", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.join(splits, ["file", "_block"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("lineno"), "raw").filter(F.trim("raw") != "")
+
+
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(file, lineno, raw)``: non-blank lines, numbered from 1 with blank ones counted."""
-    text = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("value"))
-    lines = text.select("file", F.posexplode(F.split("value", "\r\n|\r|\n")).alias("at", "raw"))
-    return lines.select("file", (F.col("at") + 1).alias("lineno"), "raw").filter(F.trim("raw") != "")
+    """``(file, lineno, raw)`` of text files; a file is read by as many tasks as it has splits."""
+    return number_lines(split_rows(spark.read.text(paths)))
 
 
 def error_code(raw: Column) -> Column:

@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinspark.operators.tree import build_nodes, fold_text
-from kinspark.sources.lineage import line_errors, tokenize
+from kinspark.sources.lineage import line_errors, number_lines, split_rows, tokenize
 
 
 def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of ``(file, lineno, raw)``; a file is one record of the source, so its
-    lines always come together."""
-    text = spark.readStream.format("text").option("wholetext", True).load(folder)
-    rows = text.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split(F.make_valid_utf8("value"), "\r\n|\r|\n")).alias("at", "raw"))
-    return rows.select("file", (F.col("at") + 1).alias("lineno"), "raw").filter(F.trim("raw") != "")
+    """A stream of ``(file, _block, raw)``; all splits of a file come in one batch, in
+    which number_lines() numbers them."""
+    return split_rows(spark.readStream.format("text").load(folder))
 
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
@@ -23,7 +21,7 @@ def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> Strea
     is run again replaces itself."""
 
     def one(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        batch = number_lines(batch).persist()
         fold_text(build_nodes(tokenize(batch, "permissive"))).write.mode("overwrite").parquet(f"{out}/nodes/batch={number}")
         line_errors(batch).write.mode("overwrite").parquet(f"{out}/errors/batch={number}")
         batch.unpersist()

@@ -172,3 +172,54 @@ def test_stream_ingest(spark, tmp_path):
     ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert [r["value"] for r in spark.read.parquet(str(tmp_path / "out/nodes")).orderBy("lineno").collect()] == ["", "ab"]
     assert spark.read.parquet(str(tmp_path / "out/errors")).select(F.col("lineno")).first()[0] == 4
+
+
+def test_read_lines_in_splits(spark, tmp_path):
+    r = random.Random(7)
+    texts = {name: [r.choice(["", " ", f"1 NOTE {i} é{'x' * r.randint(0, 40)}"]) for i in range(700)] for name in ("a", "b")}
+    for (name, rows), end in zip(texts.items(), ("\n", "\r\n")):
+        (tmp_path / f"{name}.ged").write_bytes(end.join(rows).encode())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10b")
+        df = lineage.read_lines(spark, [str(tmp_path / "a.ged"), str(tmp_path / "b.ged")])
+        got = {(x["file"][-5:-4], x["lineno"], x["raw"]) for x in df.collect()}
+        assert df.select("file").count() > 100 and spark.read.text(str(tmp_path / "a.ged")).rdd.getNumPartitions() > 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {(n, i, x) for n, rows in texts.items() for i, x in enumerate(rows, 1) if x.strip()}
+
+
+def test_export_and_back(spark, tmp_path):
+    from kinspark.sources import export
+
+    ind = spark.sql("select * from values ('@I1@', 'u1', array('@F1@'), 'Zoë'), ('@I2@', null, null, 'x') as t(pointer, uuid, fams, name)")
+    fam = spark.sql("select '@F1@' as pointer, 'f1' as uuid")
+    tables = {"individuals": ind, "families": fam, "sources": fam, "repositories": fam, "media_objects": fam}
+    export.write_json(tables, str(tmp_path / "doc"))
+    back = export.read_json(spark, str(tmp_path / "doc"), "individuals", "uuid string, fams array<string>, name string")
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, ind.collect()), key=repr)
+    rules = {"individuals": {"uuid": "string!", "fams": "array", "name": "string!"}, "families": {"uuid": "string!"}}
+    assert [tuple(x) for x in export.validate_export(export.json_entries(tables), rules).collect()] == [("individuals", "@I2@", "missing_field", "uuid")]
+    export.write_tables(tables, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t/individuals")).count() == 2
+    (tmp_path / "own.json").write_text(json.dumps({"individuals": {"@I1@": {"uuid": "u1"}}}))
+    assert [tuple(x) for x in export.read_document(spark, str(tmp_path / "own.json"), "individuals", "struct<uuid: string>").collect()] == [("@I1@", "u1")]
+
+
+def test_events_per_window(spark):
+    from kinspark.streaming.ingest import events_per_window
+
+    e = spark.sql("select * from values ('birt', timestamp'2020-01-01'), ('BIRT', timestamp'2020-01-02'), (null, timestamp'2021-01-01') as t(tag, loaded_at)")
+    assert sorted((r["tag"] or "", r["n"]) for r in events_per_window(e).collect()) == [("", 1), ("BIRT", 2)]
+
+
+def test_long_occupations(spark):
+    from kinspark.functions import occupations
+
+    dic = spark.createDataFrame([("keeper of the royal stag hounds", "keeper"), (None, "none"), ("", "none")], "variant string, canonical string")
+    t = spark.createDataFrame([(1, "He was Keeper of the Royal Stag-Hounds."), (2, None), (3, "keeper")], "id int, text string")
+    assert [tuple(r) for r in occupations.occupations_in(t, "id", "text", dic).collect()] == [(1, "keeper")]
+    assert occupations.occupations_in(t, "id", "text", dic.limit(0)).count() == 0
