@@ -22,7 +22,9 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ from kinspark.session import durable
 #: The expectation ends when no kind's rate and no such part of all counts changes more.
 SETTLED = 1e-3
 MAX_ROUNDS = 100
-#: Rows of a batch of lattices.
-BATCH = 50_000
+#: Texts of a batch of lattices.
+BATCH = 5_000
 #: How many times oftener a name must stand first than later to be a value of a list.
 HEADED = 1.0
 #: In what part of its occurrences a name may stand before the same next one in a list.
@@ -56,6 +58,7 @@ DELIMITERS = [
     ("comma", r"\s*,\s*"),
 ]
 KINDS = [*(k for k, _ in DELIMITERS), "level"]
+_KIND = {k: i for i, k in enumerate(KINDS)}
 _DELIM = re.compile("|".join(f"(?P<{k}>{p})" for k, p in DELIMITERS), re.I)
 _WITHIN = re.compile(r"\s*[/&]\s*|\s+and\s+")
 _NUMBER = re.compile(r"\(?([0-9]{1,3})[).]\s*")
@@ -152,49 +155,9 @@ def edges(text: str, spans: list[tuple[int, int]], quoted: list[bool]) -> list[t
     return out
 
 
-def _numbered(es) -> dict[str, int]:
-    """The distinct parts of a lattice, in the order in which they first occur."""
-    out: dict[str, int] = {}
-    for _, _, values in es:
-        for x in values:
-            out.setdefault(x, len(out))
-    return out
-
-
-def _weights(text: str, levels: bool, known: dict[int, float], new: float, cut: dict[str, tuple[float, float]]):
-    """The lattice of a text: spans, kinds, and edges with their log weight, which
-    is that of their parts, of the delimiters kept within, and of the cut after.
-    ``known`` holds the log probability of the parts that are known, by their
-    number; others share the mass ``new`` by their letters."""
-    spans, kinds, quoted = atoms(text, levels)
-    es = edges(text, spans, quoted)
-    logs = {}
-    for x, k in _numbered(es).items():
-        lp = known.get(k)
-        logs[x] = new - 2.0 - _CHAR_COST * len(_NO_LETTER.sub("", x[2:])) if lp is None else lp
-    # What the delimiters before each one cost where they are kept.
-    kept = [0.0]
-    for q in kinds:
-        kept.append(kept[-1] + cut[q][1])
-    out = []
-    for i, j, values in es:
-        tails = heads = sides = 0.0
-        for x in values:
-            if x[0] == "t":
-                tails += logs[x]
-            elif x[0] == "h":
-                heads += logs[x]
-            else:
-                sides += logs[x]
-        # A misspelt name that holds a delimiter is still known by its sides.
-        w = tails + (max(heads, sides) if sides else heads) + kept[j - 1] - kept[i]
-        out.append((i, j, values, w + cut[kinds[j - 1]][0] if j - 1 < len(kinds) else w))
-    return spans, kinds, out
-
-
 def viterbi(n: int, es) -> list[tuple[int, int]]:
     best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
-    for i, j, _, w in es:
+    for i, j, w in es:
         if best[i] + w > best[j]:
             best[j], back[j] = best[i] + w, i
     way, j = [], n
@@ -204,77 +167,127 @@ def viterbi(n: int, es) -> list[tuple[int, int]]:
     return way[::-1]
 
 
-def _logadd(a: float, b: float) -> float:
-    if a < b:
-        a, b = b, a
-    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
-
-
-def posteriors(n: int, es) -> list[float]:
-    fwd, bwd = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
-    for i, j, _, w in es:
-        fwd[j] = _logadd(fwd[j], fwd[i] + w)
-    for i, j, _, w in reversed(es):
-        bwd[i] = _logadd(bwd[i], bwd[j] + w)
-    return [math.exp(min(0.0, fwd[i] + w + bwd[j] - fwd[n])) for i, j, _, w in es]
-
-
-_PART = pa.schema([("id", pa.int64()), ("k", pa.int32()), ("part", pa.string())])
+_LATTICE = pa.schema(
+    [("id", pa.int64()), ("text", pa.string()), ("n", pa.int64()), ("kinds", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))]
+    + [("sizes", pa.list_(pa.int32())), ("at", pa.list_(pa.int32())), ("letters", pa.list_(pa.int32())), ("parts", pa.list_(pa.string()))]
+)
+_DDL = "id bigint, text string, n bigint, kinds array<int>, starts array<int>, ends array<int>, sizes array<int>, at array<int>, letters array<int>, parts array<string>"
 _COUNT = pa.schema([("what", pa.string()), ("part", pa.string()), ("c", pa.float64()), ("texts", pa.int64())])
 _VALS = pa.schema([("text", pa.string()), ("vals", pa.list_(pa.string()))])
 
 
+def lattice(text: str, levels: bool) -> tuple[list, ...]:
+    """Kinds of the delimiters by number; starts and ends of the edges, how many parts
+    each has and which; letters of the distinct parts, and the parts."""
+    spans, kinds, quoted = atoms(text, levels)
+    own: dict[str, int] = {}
+    starts, ends, sizes, at = [], [], [], []
+    for i, j, values in edges(text, spans, quoted):
+        starts.append(i), ends.append(j), sizes.append(len(values))
+        at.extend(own.setdefault(x, len(own)) for x in values)
+    return [_KIND[k] for k in kinds], starts, ends, sizes, at, [len(_NO_LETTER.sub("", x[2:])) for x in own], list(own)
+
+
 def _lattices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct parts of each text's lattice, with their numbers."""
     for batch in batches:
-        out: list[list] = [[], [], []]
-        whole = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PART)], schema=_PART)
-        for key, text, levels in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "levels"))):
-            spans, _, quoted = atoms(text, levels)
-            own = _numbered(edges(text, spans, quoted))
-            out[0].extend([key] * len(own)), out[1].extend(own.values()), out[2].extend(own)
-            if len(out[0]) >= BATCH:
-                yield whole()
-                out = [[], [], []]
-        yield whole()
-
-
-def _open_texts(batch: pa.RecordBatch):
-    """The texts of a batch with what is known of their parts."""
-    lists = batch.column("e").combine_chunks() if isinstance(batch.column("e"), pa.ChunkedArray) else batch.column("e")
-    offsets = lists.offsets.to_numpy()
-    flat = lists.values
-    k, lp = (flat.field(c).to_pylist() for c in ("k", "lp"))
-    empty = lists.is_null().to_pylist()
-    for r, (text, n, levels) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "n", "levels")))):
-        a, b = (0, 0) if empty[r] else (offsets[r], offsets[r + 1])
-        yield text, n, levels, dict(zip(k[a:b], lp[a:b]))
+        for a in range(0, batch.num_rows, BATCH):
+            ids, texts, n, levels = (c.to_pylist() for c in batch.slice(a, BATCH).columns)
+            columns = zip(*(lattice(t, x) for t, x in zip(texts, levels)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, texts, n, *columns), _LATTICE)], schema=_LATTICE)
+
+
+def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, pa.Array]:
+    """Offsets and values of a list column; a null is an empty list."""
+    c = batch.column(name)
+    size = np.nan_to_num(pc.list_value_length(c).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+    return np.concatenate((np.zeros(1, np.int64), np.cumsum(size))), pc.list_flatten(c)
+
+
+class Batch:
+    """The lattices of many texts as arrays, with the log weight of every edge: that of
+    its parts, of the delimiters kept within, and of the cut after. Known parts have
+    their log probability; others share the mass ``new`` by their letters."""
+
+    def __init__(self, batch: pa.RecordBatch, new: float, cut: dict[str, tuple[float, float]]):
+        whole = lambda name: (lambda o, v: (o, v.to_numpy(zero_copy_only=False)))(*_flat(batch, name))
+        self.rows = batch.num_rows
+        self.n = batch.column("n").to_numpy(zero_copy_only=False).astype(float)
+        self.koff, self.kinds = whole("kinds")
+        self.eoff, self.start = whole("starts")
+        self.end = whole("ends")[1]
+        sizes, at = whole("sizes")[1], whole("at")
+        self.poff, letters = whole("letters")
+        self.parts = _flat(batch, "parts")[1]
+        self.text = np.repeat(np.arange(self.rows), np.diff(self.eoff))  # of each edge
+        self.edge = np.repeat(np.arange(len(sizes)), sizes)  # of each part in an edge
+        self.part = at[1] + np.repeat(self.poff[:-1], np.diff(at[0]))
+        lp = new - 2.0 - _CHAR_COST * letters
+        off, known = _flat(batch, "e")
+        lp[np.repeat(self.poff[:-1], np.diff(off)) + known.field("k").to_numpy(zero_copy_only=False)] = known.field("lp").to_numpy(zero_copy_only=False)
+        what = pc.utf8_slice_codeunits(self.parts, 0, 1)
+        sums = {}
+        for kind in "ths":
+            own = pc.equal(what, kind).to_numpy(zero_copy_only=False)[self.part]
+            sums[kind] = np.bincount(self.edge, lp[self.part] * own, len(sizes)), np.bincount(self.edge, own, len(sizes)) > 0
+        heads, sides = sums["h"][0], sums["s"][0]
+        # A misspelt name that holds a delimiter is still known by its sides.
+        w = sums["t"][0] + np.where(sums["s"][1], np.maximum(heads, sides), heads)
+        cuts, keeps = (np.array([cut[k][x] for k in KINDS]) for x in (0, 1))
+        kept = np.concatenate((np.zeros(1), np.cumsum(keeps[self.kinds])))
+        base = self.koff[self.text]
+        w += kept[base + self.end - 1] - kept[base + self.start]
+        self.after = np.where(base + self.end - 1 < self.koff[self.text + 1], base + self.end - 1, -1)
+        self.w = w + np.where(self.after >= 0, cuts[self.kinds[self.after]], 0.0) if len(self.kinds) else w
+
+    def _sums(self, group: np.ndarray, other: np.ndarray, first: np.ndarray, down: bool) -> np.ndarray:
+        """Log sums over all ways from one end to each node, a step of nodes at a time."""
+        node = np.repeat(np.arange(self.rows), np.diff(self.koff) + 2)
+        self.base = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.diff(self.koff) + 2)))
+        out = np.full(len(node), -np.inf)
+        out[first] = 0.0
+        key = -group if down else group
+        order = np.argsort(key, kind="stable")
+        for here in np.split(order, np.flatnonzero(np.diff(key[order])) + 1) if len(order) else []:
+            t = self.text[here]
+            v = out[self.base[t] + other[here]] + self.w[here]
+            head = np.concatenate(([0], np.flatnonzero(np.diff(t)) + 1))
+            most = np.maximum.reduceat(v, head)
+            most = np.where(np.isfinite(most), most, 0.0)
+            total = np.add.reduceat(np.exp(v - np.repeat(most, np.diff(np.append(head, len(v))))), head)
+            with np.errstate(divide="ignore"):
+                out[self.base[t[head]] + group[here[0]]] = most + np.log(total)
+        return out
+
+    def posteriors(self) -> np.ndarray:
+        """The probability of each edge."""
+        base = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.diff(self.koff) + 2)))
+        ends = base[1:] - 1
+        up = self._sums(self.end, self.start, base[:-1], False)
+        down = self._sums(self.start, self.end, ends, True)
+        at = base[self.text]
+        return np.exp(np.minimum(0.0, up[at + self.start] + self.w + down[at + self.end] - up[ends[self.text]]))
 
 
 def _expect(new: float, cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total: dict[tuple[str, str], list] = {}
-
-            def add(what: str, part: str, c: float, texts: int) -> None:
-                t = total.setdefault((what, part), [0.0, 0])
-                t[0] += c
-                t[1] += texts
-
-            for text, n, levels, known in _open_texts(batch):
-                spans, kinds, es = _weights(text, levels, known, new, cut)
-                own: dict[str, float] = {}
-                for (_, j, values, _), p in zip(es, posteriors(len(spans), es)):
-                    for x in values if p > 1e-4 else ():
-                        own[x] = own.get(x, 0.0) + n * p
-                    if j - 1 < len(kinds):
-                        add("cut", kinds[j - 1], n * p, 0)
-                for x, c in own.items():
-                    add("v", x, c, int(c > 0.05))
-                for q in kinds:
-                    add("all", q, float(n), 0)
-            rows = [(a, b, c, t) for (a, b), (c, t) in total.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_COUNT)], schema=_COUNT)
+            for a in range(0, batch.num_rows, BATCH):
+                b = Batch(batch.slice(a, BATCH), new, cut)
+                p = b.posteriors()
+                mass = b.n[b.text] * p
+                count = np.bincount(b.part, (mass * (p > 1e-4))[b.edge], len(b.parts))
+                got = np.flatnonzero(count > 0)
+                names = b.parts.take(pa.array(got)).dictionary_encode()
+                which = names.indices.to_numpy(zero_copy_only=False)
+                size = len(names.dictionary)
+                last = b.after >= 0
+                cuts = np.bincount(b.kinds[b.after[last]], mass[last], len(KINDS)) if last.any() else np.zeros(len(KINDS))
+                every = np.bincount(b.kinds, np.repeat(b.n, np.diff(b.koff)), len(KINDS))
+                columns = (
+                    ["v"] * size + ["cut"] * len(KINDS) + ["all"] * len(KINDS), names.dictionary.to_pylist() + KINDS * 2,
+                    np.concatenate((np.bincount(which, count[got], size), cuts, every)), np.concatenate((np.bincount(which, count[got] > 0.05, size), np.zeros(2 * len(KINDS)))).astype(np.int64),
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNT)], schema=_COUNT)
 
     return run
 
@@ -282,11 +295,12 @@ def _expect(new: float, cut):
 def _decide(new: float, cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, vals = [], []
-            for text, _, levels, known in _open_texts(batch):
-                spans, _, es = _weights(text, levels, known, new, cut)
-                values = unnumbered([text[spans[i][0] : spans[j - 1][1]].strip(_EDGE) for i, j in viterbi(len(spans), es)])
-                texts.append(text)
+            b = Batch(batch, new, cut)
+            vals, texts = [], batch.column("text").to_pylist()
+            es = list(zip(b.start.tolist(), b.end.tolist(), b.w.tolist()))
+            for r, (text, levels) in enumerate(zip(texts, batch.column("levels").to_pylist())):
+                spans = atoms(text, levels)[0]
+                values = unnumbered([text[spans[i][0] : spans[j - 1][1]].strip(_EDGE) for i, j in viterbi(len(spans), es[b.eoff[r] : b.eoff[r + 1]])])
                 vals.append([c for v in values if (c := clean(v))])
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(vals, pa.list_(pa.string()))], schema=_VALS)
 
@@ -318,14 +332,15 @@ def _listed(distinct: DataFrame, known: DataFrame) -> DataFrame:
     return durable(plain.join(every, "text", "left_semi").join(alone, "text", "left_semi"))
 
 
-def _scored(open_texts: DataFrame, lattice: DataFrame, known: DataFrame) -> tuple[DataFrame, float]:
-    """The texts with the log probabilities of those parts of their edges that are
-    known, and the log mass of parts never seen (that of the parts seen once)."""
+def _scored(open_texts: DataFrame, known: DataFrame) -> tuple[DataFrame, float]:
+    """The texts with the log probabilities of those of their parts that are known, and
+    the log mass of parts never seen (that of the parts seen once)."""
     size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
     total, once = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
     lp = F.log("c") - F.lit(math.log(total + once))
-    of_text = lattice.join(known, "part").select("id", F.struct("k", lp.alias("lp")).alias("e")).groupBy("id").agg(F.collect_list("e").alias("e"))
-    return open_texts.join(of_text, "id", "left").select("text", "n", "levels", "e"), math.log(once) - math.log(total + once)
+    rows = open_texts.select("id", F.posexplode("parts").alias("k", "part"))
+    of_text = rows.join(known, "part").select("id", F.struct("k", lp.alias("lp")).alias("e")).groupBy("id").agg(F.collect_list("e").alias("e"))
+    return open_texts.join(of_text, "id", "left"), math.log(once) - math.log(total + once)
 
 
 def _counted(distinct: DataFrame) -> DataFrame:
@@ -350,17 +365,16 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
     distinct = durable(distinct.withColumn("id", F.monotonically_increasing_id()))
     plain = _counted(distinct.filter("not hint"))
 
-    def lattice_of(some: DataFrame) -> DataFrame:
-        return durable(some.select("id", "text", "levels").mapInArrow(_lattices, "id bigint, k int, part string"))
+    def lattice_of(some: DataFrame, levels: bool) -> DataFrame:
+        lattices = some.select("id", "text", "n", F.lit(levels).alias("levels")).mapInArrow(_lattices, _DDL)
+        return durable(lattices.withColumn("levels", F.lit(levels)))
 
-    columns = ["id", "text", "n"]
-    open_texts = distinct.filter("hint").select(*columns, F.lit(False).alias("levels"))
-    lattice = lattice_of(open_texts)
+    open_texts = lattice_of(distinct.filter("hint"), False)
     known = plain
     cut = {k: (math.log(0.5), math.log(0.5)) for k in KINDS}
     before = None
     for at in range(MAX_ROUNDS):
-        scored, new = _scored(open_texts, lattice, known)
+        scored, new = _scored(open_texts, known)
         seen = scored.mapInArrow(_expect(new, cut), "what string, part string, c double, texts bigint")
         got = durable(seen.groupBy("what", "part").agg(F.sum("c").alias("c"), F.sum("texts").alias("texts")))
         rate = {(r["what"], r["part"]): r["c"] for r in got.filter("what <> 'v'").collect()}  # two rows per kind of delimiter
@@ -373,8 +387,7 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
         if at == 0:
             # Now values are known from packed fields too: lists by comma join the lattice.
             listed = _listed(distinct, plain.unionByName(values.filter("c >= 0.5")).groupBy("part").agg(F.sum("c").alias("c")))
-            more = listed.select(*columns, F.lit(True).alias("levels"))
-            open_texts, lattice = open_texts.unionByName(more), lattice.unionByName(lattice_of(more))
+            open_texts = open_texts.unionByName(lattice_of(listed, True))
             lost = listed.select((-F.col("n")).alias("n"), F.explode("parts").alias("part")).groupBy("part").agg(F.sum("n").cast("double").alias("c"))
             plain = durable(plain.unionByName(lost).groupBy("part").agg(F.sum("c").alias("c")).filter("c > 0"))
         # What a single text alone supports is no evidence for that text.
@@ -392,7 +405,7 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
         before = values
     else:
         raise RuntimeError(f"the rates of delimiters did not settle in {MAX_ROUNDS} rounds")
-    scored, new = _scored(open_texts, lattice, known)
+    scored, new = _scored(open_texts, known)
     return durable(scored.mapInArrow(_decide(new, cut), "text string, vals array<string>"))
 
 

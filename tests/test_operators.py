@@ -120,6 +120,40 @@ def test_packed_runs_of_any_length_and_settled_rates(spark, monkeypatch):
         packed.packed_texts(df)
 
 
+def test_lattice_sums_against_all_ways():
+    import math
+
+    import pyarrow as pa
+
+    cut = {k: (math.log(0.2 + 0.05 * i), math.log(0.8 - 0.05 * i)) for i, k in enumerate(packed.KINDS)}
+    r = random.Random(9)
+    texts = ["".join(r.choice(["Oak", "Elm, Ash", '"Fir; Yew"', "St X"]) + r.choice(["; ", " / ", " & ", "|", ", "]) for _ in range(r.randint(1, 6))) + "Larch" for _ in range(40)] + ["Oak", '"a;b"']
+    rows = [packed.lattice(t, i % 3 == 0) for i, t in enumerate(texts)]
+    known = [{k: -r.random() * 5 for k in range(len(x[6])) if r.random() < 0.5} for x in rows]
+    e = pa.array([[{"k": k, "lp": v} for k, v in d.items()] or None for d in known], pa.list_(pa.struct([("k", pa.int32()), ("lp", pa.float64())])))
+    columns = [pa.array(c, packed._LATTICE.field(n).type) for n, c in zip(packed._LATTICE.names[3:], zip(*rows))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), *columns, e], names=["n", *packed._LATTICE.names[3:], "e"])
+    b = packed.Batch(batch, -9.0, cut)
+    got = b.posteriors()
+    for t in range(len(texts)):
+        es = [(int(b.start[k]), int(b.end[k]), float(b.w[k]), k) for k in range(b.eoff[t], b.eoff[t + 1])]
+        last, ways = len(rows[t][0]) + 1, []
+
+        def walk(at, w, used):
+            if at == last:
+                ways.append((w, used))
+            for i, j, x, k in es:
+                if i == at:
+                    walk(j, w + x, [*used, k])
+
+        walk(0, 0.0, [])
+        total = sum(math.exp(w) for w, _ in ways)
+        for *_, k in es:
+            assert got[k] == pytest.approx(sum(math.exp(w) for w, u in ways if k in u) / total, abs=1e-9)
+        best = max(ways)[1]
+        assert [(i, j) for i, j, _, k in es if k in best] == packed.viterbi(last, [x[:3] for x in es])
+
+
 def test_packed_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None, "x"), (None, "a;b", "y"), (2, " ", "z")], "event_id bigint, place string, text string")
     assert packed.packed_places(df).count() == 0 and packed.packed_places(df.limit(0)).count() == 0
