@@ -30,20 +30,23 @@ def _walk(walks: DataFrame, stops: DataFrame, is_stop: Column, max_rounds: int)
     the nodes after ``node`` up to and including ``cur``. ``stops``: ``(node)``
     at which walks end besides those for which ``is_stop`` (of node) holds."""
     ends = stops.select("node", F.col("node").alias("cur"), F.array().cast("array<string>").alias("seg"), F.lit(DONE).alias("status"))
+    settled = None
     for _ in range(max_rounds):
+        # Only walks that moved are written; those that ended before stay where they are.
         walks = durable(walks)
-        active = walks.filter(F.col("status") == ACTIVE)
+        active, ended = walks.filter(F.col("status") == ACTIVE), walks.filter(F.col("status") != ACTIVE)
+        settled = ended if settled is None else settled.unionByName(ended)
         if active.isEmpty():
-            return walks
+            return settled
         own = F.when(is_stop, F.array().cast("array<string>")).otherwise(F.col("seg"))
-        onward = walks.select(
+        onward = settled.unionByName(active).select(
             F.col("node").alias("cur"),
             F.when(is_stop, F.col("node")).otherwise(F.col("cur")).alias("cur2"),
             own.alias("seg2"),
             F.when(is_stop, DONE).otherwise(F.col("status")).alias("status2"),
         ).unionByName(ends.select(F.col("node").alias("cur"), F.col("cur").alias("cur2"), F.col("seg").alias("seg2"), F.col("status").alias("status2")))
         seg = F.concat("seg", "seg2")
-        moved = (
+        walks = (
             active.drop("status")
             .join(onward, "cur")
             .select(
@@ -56,7 +59,6 @@ def _walk(walks: DataFrame, stops: DataFrame, is_stop: Column, max_rounds: int)
                 .alias("status"),
             )
         )
-        walks = walks.filter(F.col("status") != ACTIVE).unionByName(moved)
     raise RuntimeError(f"walks did not end in {max_rounds} rounds")
 
 

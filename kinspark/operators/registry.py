@@ -186,9 +186,10 @@ def attributes(nodes: DataFrame) -> DataFrame:
     return rows.filter(open_).select("file", "entity", "pointer", "lineno", F.upper("tag").alias("tag"), "value")
 
 
-def events(nodes: DataFrame) -> DataFrame:
+def events(nodes: DataFrame, coordinates: bool = True, ages: bool = True) -> DataFrame:
     """One row per event of an individual or family with its date, place,
-    type, cause, certainty, coordinates, notes and sources, and the age at it."""
+    type, cause, certainty, notes and sources, and, where asked for, its coordinates
+    and the age at it."""
     tag = F.upper("tag")
     own = nodes.filter((F.col("level") == 0) & tag.isin("INDI", "FAM") & F.col("pointer").isNotNull()).select(
         "file", F.col("lineno").alias("record_lineno"), normalize_pointer(F.col("pointer")).alias("owner"), tag.alias("owner_type")
@@ -199,23 +200,33 @@ def events(nodes: DataFrame) -> DataFrame:
         first("DATE").alias("date_text"), first("PLAC").alias("place_text"), first("TYPE").alias("subtype"), first("CAUS").alias("cause"), first("QUAY").alias("quay"),
         _sorted(F.nullif(F.trim("value"), F.lit("")), tag == "NOTE").alias("notes"), _sorted(reference(), tag == "SOUR").alias("sources"),
     )
-    # Coordinates stand in a MAP of the event or of its place.
+    rows = rows.join(low, ["file", "lineno"], "left")
+    if coordinates:
+        rows = rows.join(_coordinates(nodes), ["file", "lineno"], "left")
+    e = rows.select(
+        "file", "owner", "owner_type", "lineno", tag.alias("tag"), parse_date(F.col("date_text")).alias("date"), event_place(F.col("place_text")).alias("place"),
+        ev.event_type(F.col("tag")).alias("type"), "subtype", F.when(tag == "EVEN", F.nullif(F.trim("value"), F.lit(""))).alias("description"),
+        "cause", ev.certainty(F.col("quay")).alias("certainty"), *(["latitude", "longitude"] if coordinates else []), "notes", "sources",
+    )
+    e = e.withColumn("uuid", uuid_for_event(F.col("owner"), F.col("tag"), F.col("date")["normalized"], F.col("place")))
+    if not ages:
+        return e
+    births = e.filter("tag = 'BIRT' and owner_type = 'INDI'").groupBy("file", "owner").agg(F.min_by("date", "lineno").alias("birth"))
+    age = F.when((F.col("owner_type") == "INDI") & (F.col("tag") != "BIRT"), age_between(F.col("birth"), F.col("date")))
+    return e.join(births, ["file", "owner"], "left").withColumn("age", age).drop("birth")
+
+
+def _coordinates(nodes: DataFrame) -> DataFrame:
+    """``(file, lineno, latitude, longitude)`` of events; they stand in a MAP of the event
+    or of its place."""
+    tag = F.upper("tag")
     deep = nodes.filter(tag.isin("LATI", "LONG")).select("file", F.col("parent_lineno").alias("map"), tag.alias("which"), "value", "lineno")
     maps = nodes.filter(tag == "MAP").select("file", F.col("lineno").alias("map"), F.col("parent_lineno").alias("of"))
     ups = nodes.select("file", F.col("lineno").alias("of"), F.when(F.col("level") == 1, F.col("lineno")).otherwise(F.col("parent_lineno")).alias("event_line"))
-    where = deep.join(maps, ["file", "map"]).join(ups, ["file", "of"]).groupBy("file", F.col("event_line").alias("lineno")).agg(
+    return deep.join(maps, ["file", "map"]).join(ups, ["file", "of"]).groupBy("file", F.col("event_line").alias("lineno")).agg(
         F.min_by(F.when(F.col("which") == "LATI", hemisphere_degrees(F.col("value"))), F.when(F.col("which") == "LATI", F.col("lineno"))).alias("latitude"),
         F.min_by(F.when(F.col("which") == "LONG", hemisphere_degrees(F.col("value"))), F.when(F.col("which") == "LONG", F.col("lineno"))).alias("longitude"),
     )
-    e = rows.join(low, ["file", "lineno"], "left").join(where, ["file", "lineno"], "left").select(
-        "file", "owner", "owner_type", "lineno", tag.alias("tag"), parse_date(F.col("date_text")).alias("date"), event_place(F.col("place_text")).alias("place"),
-        ev.event_type(F.col("tag")).alias("type"), "subtype", F.when(tag == "EVEN", F.nullif(F.trim("value"), F.lit(""))).alias("description"),
-        "cause", ev.certainty(F.col("quay")).alias("certainty"), "latitude", "longitude", "notes", "sources",
-    )
-    births = e.filter("tag = 'BIRT' and owner_type = 'INDI'").groupBy("file", "owner").agg(F.min_by("date", "lineno").alias("birth"))
-    e = e.join(births, ["file", "owner"], "left")
-    age = F.when((F.col("owner_type") == "INDI") & (F.col("tag") != "BIRT"), age_between(F.col("birth"), F.col("date")))
-    return e.withColumns({"age": age, "uuid": uuid_for_event(F.col("owner"), F.col("tag"), F.col("date")["normalized"], F.col("place"))}).drop("birth")
 
 
 def event_roles(nodes: DataFrame) -> DataFrame:

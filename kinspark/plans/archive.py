@@ -25,7 +25,7 @@ def _tokens(s: SparkSession, d: str) -> DataFrame:
 
 def _nodes(s: SparkSession, d: str) -> DataFrame:
     # Written once: every builder reads the nodes several times.
-    return durable(tree.fold_text(durable(tree.build_nodes(_tokens(s, d)))))
+    return durable(tree.fold_text(tree.build_nodes(_tokens(s, d))))
 
 
 def _events(s: SparkSession, d: str) -> DataFrame:
@@ -33,7 +33,7 @@ def _events(s: SparkSession, d: str) -> DataFrame:
 
 
 def births_by_place_and_year(s, d):
-    e = place_registry.standardize(registry.events(_nodes(s, d)).filter("tag = 'BIRT'"))
+    e = place_registry.standardize(registry.events(_nodes(s, d), coordinates=False, ages=False).filter("tag = 'BIRT'"))
     year = dates.first_year(F.col("date")["date"])
     return e.groupBy("place_id", year.alias("birth_year")).agg(F.count("*").alias("n_births"))
 
