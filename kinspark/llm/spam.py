@@ -186,14 +186,15 @@ def _counted(norms: Norms, stuffing: np.ndarray | None):
     the blocks themselves."""
 
     def run(batches):
-        counts = np.zeros((2, HASHES), np.int64)
+        counts = np.zeros((2, HASHES), np.int32)
         total = np.zeros(2, np.int64)
         for _, bs in _cut(batches):
             part, own, both, stuffed = _judged(bs, norms, stuffing)
             key = np.unique(np.concatenate((part * HASHES + own, (part * HASHES + both)[both >= 0])))
             of, h = key // HASHES, key % HASHES
             for side in (0, 1):
-                counts[side] += np.bincount(h[stuffed[of] == (side == 0)], minlength=HASHES)
+                x, n = np.unique(h[stuffed[of] == (side == 0)], return_counts=True)
+                counts[side, x] += n.astype(np.int32)
             total += [stuffed.sum(), (~stuffed).sum()]
         at = np.flatnonzero(counts.any(0))
         for k in range(0, len(at), 100_000):
