@@ -70,11 +70,10 @@ class PairTable:
 
 
 class BytePairEncoder:
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: bytes):
         import regex
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line.strip())}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.width = 1 << 20
         found = [
@@ -161,15 +160,18 @@ class BytePairEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> BytePairEncoder:
-    return BytePairEncoder(path)
+def encoder(vocabulary: bytes) -> BytePairEncoder:
+    return BytePairEncoder(vocabulary)
 
 
 def _encoded(path: str, lists: bool):
-    """Texts, the last column, replaced by their ids or by their number."""
+    """Texts, the last column, replaced by their ids or by their number. The vocabulary,
+    a file of about a megabyte, is read once and travels with the job."""
+    with open(path, "rb") as f:
+        vocabulary = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(vocabulary)
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):
                 part = batch.slice(a, 1024)
