@@ -27,6 +27,18 @@ def normalize_names(records: DataFrame) -> DataFrame:
     )
 
 
+def normalized_counts(records: DataFrame) -> DataFrame:
+    """One row of counts: people, their names, what normalize_names() fills in, and
+    the people that get a normalised name."""
+    before = records.select("name_id", *[clean(F.col(c)).alias(c + "_0") for c in ("given", "surname", "suffix")])
+    j = normalize_names(records).join(before, "name_id")
+    filled = lambda c: F.count_if(F.col(c + "_0").isNull() & F.col(c).isNotNull()).alias(f"n_filled_{c}")
+    return j.agg(
+        F.count_distinct("pointer").alias("n_people"), F.count("*").alias("n_names"), filled("given"), filled("surname"), filled("suffix"),
+        F.count_distinct(F.when(F.col("normalized_full").isNotNull(), F.col("pointer"))).alias("n_normalized"),
+    )
+
+
 def name_identity(records: DataFrame) -> DataFrame:
     """``(pointer, normalized, uuid)`` of each person's best name."""
     best = normalize_names(records).groupBy("pointer").agg(F.min("normalized_full").alias("normalized"))

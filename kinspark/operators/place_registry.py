@@ -19,6 +19,13 @@ def standardize(events: DataFrame, place: str = "place") -> DataFrame:
     return events.withColumns({"place_id": s["id"], "place_normalized": s["normalized"]})
 
 
+def standardized_counts(events: DataFrame, owner_type: str = "owner_type", owner: str = "owner") -> DataFrame:
+    """One row of counts over standardised events: owners of either kind that have
+    some, events, and those with a place."""
+    who = lambda t: F.count_distinct(F.when(F.col(owner_type) == t, F.col(owner)))
+    return events.agg(who("INDI").alias("n_individuals"), who("FAM").alias("n_families"), F.count("*").alias("n_events"), F.count("place_id").alias("n_with_places"))
+
+
 def place_registry(events: DataFrame, owner_type: str = "owner_type", place: str = "place") -> DataFrame:
     """One row per place with its counts and the least raw writings."""
     e = standardize(events, place).filter("place_id is not null")

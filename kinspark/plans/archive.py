@@ -133,6 +133,16 @@ def name_index(s, d):
     return naming.name_index(naming.name_identity(r)).drop("first_pointer")
 
 
+def name_counts(s, d):
+    return naming.normalized_counts(first_delivery(read_table(s, d, "name_records"), "name_id"))
+
+
+def standard_counts(s, d):
+    kind = F.when(F.upper(F.trim("tag")) == "MARR", "FAM").otherwise("INDI")
+    e = place_registry.standardize(_events(s, d)).withColumns({"owner_type": kind, "owner": identity.normalize_pointer(F.col("owner_pointer"))})
+    return place_registry.standardized_counts(e)
+
+
 def names_by_lists(s, d):
     c = read_table(s, d, "customer")
     v = F.concat(F.when(F.col("c_custkey") % 2 == 0, "Dr. ").otherwise(""), F.lit("Ann Mary /van der "), "c_mktsegment", F.lit("/ Jr."))
@@ -347,7 +357,7 @@ def media_files(s, d):
 
 QUERIES = {f.__name__: f for f in (
     births_by_place_and_year, tokenize_lines, line_errors, tree_parents, level_jumps, record_tags, folded_notes, lines_round_trip, entity_counts, individuals, person_names,
-    family_members, events_extracted, event_roles, date_parse, date_years, ages, uuids, name_index, names_by_lists, place_standard, place_parts, place_counts, place_tree,
+    family_members, events_extracted, event_roles, date_parse, date_years, ages, uuids, name_index, name_counts, standard_counts, names_by_lists, place_standard, place_parts, place_counts, place_tree,
     place_versions, place_integrity, coordinates, occupations_found, xref_links, xref_members, xref_index, event_choice, event_points, event_scores, score_summary,
     person_scores, first_births, er_candidates, er_clusters, er_merge_plan, er_applied, er_summary, er_members, er_names, er_blocks, graph_edges, graph_vertices, kin_components, media_files,
 )}
@@ -475,6 +485,14 @@ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pointer ORDER BY
 m AS (SELECT *, coalesce(f, '') AS base, regexp_matches(coalesce(f, ''), '/[^/]+/') AS marked FROM b),
 k AS (SELECT pointer, concat_ws(' ', coalesce(g, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 1) ELSE base END), coalesce(s, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 2) END), coalesce(x, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 3) END)) AS pretty FROM m)
 SELECT lower({_CLEAN.format(r"regexp_replace(pretty, '[^0-9A-Za-z\s.''’-]', '', 'g')")}) AS normalized, count(*) AS occurrences FROM k WHERE pointer IS NOT NULL GROUP BY 1 HAVING normalized IS NOT NULL""",
+    "standard_counts": f"""WITH {_EV} SELECT count(DISTINCT CASE WHEN upper(trim(tag)) <> 'MARR' THEN {_OWN} END) AS n_individuals, count(DISTINCT CASE WHEN upper(trim(tag)) = 'MARR' THEN {_OWN} END) AS n_families, count(*) AS n_events, count({_PID}) AS n_with_places FROM ev""",
+    "name_counts": rf"""WITH c AS (SELECT DISTINCT name_id, {pointer_sql('pointer')} AS pointer, {_CLEAN.format('full_name')} AS f, {_CLEAN.format('given')} AS g, {_CLEAN.format('surname')} AS s, {_CLEAN.format('suffix')} AS x FROM name_records WHERE name_id IS NOT NULL),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pointer ORDER BY f IS NULL, name_id) AS rn FROM c) t WHERE rn = 1),
+m AS (SELECT *, coalesce(f, '') AS base, regexp_matches(coalesce(f, ''), '/[^/]+/') AS marked FROM b),
+k AS (SELECT pointer, split_part(coalesce(g, {_CLEAN.format(f"CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 1) ELSE base END")}), ' ', 1) AS pg, coalesce(s, {_CLEAN.format(f"CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 2) END")}) AS ps, coalesce(x, {_CLEAN.format(f"CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 3) END")}) AS px,
+  concat_ws(' ', coalesce(g, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 1) ELSE base END), coalesce(s, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 2) END), coalesce(x, CASE WHEN marked THEN regexp_extract(base, '{_MARKED}', 3) END)) AS pretty FROM m)
+SELECT count(DISTINCT c.pointer) AS n_people, count(*) AS n_names, count_if(c.g IS NULL AND pg <> '') AS n_filled_given, count_if(c.s IS NULL AND ps IS NOT NULL) AS n_filled_surname, count_if(c.x IS NULL AND px IS NOT NULL) AS n_filled_suffix,
+ count(DISTINCT CASE WHEN {_CLEAN.format(r"regexp_replace(pretty, '[^0-9A-Za-z\s.''’-]', '', 'g')")} IS NOT NULL THEN c.pointer END) AS n_normalized FROM c JOIN k ON k.pointer = c.pointer""",
     "ages": "SELECT o_orderkey, CAST(date_part('year', age(o_orderdate, b)) AS BIGINT) AS years, CAST(date_part('month', age(o_orderdate, b)) AS BIGINT) AS months FROM orders JOIN (SELECT o_custkey, min(o_orderdate) AS b FROM orders GROUP BY 1) f USING (o_custkey)",
     "uuids": f"""SELECT c_custkey, {_SHA.format("'PTR|@I' || c_custkey || '@'")} AS by_pointer, {_SHA.format("'NAME| i' || c_custkey || '|' || c_name")} AS by_name, {_SHA.format("'EVT| i' || c_custkey || '|BIRT||' || c_mktsegment")} AS by_event FROM customer""",
     "names_by_lists": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Dr.' END AS prefix, 'Ann' AS given, 'Mary' AS middle, 'van der' AS surname_prefix, c_mktsegment AS surname, 'Jr.' AS suffix FROM customer",

@@ -1,4 +1,4 @@
-"""Lineage text: files of level-numbered lines."""
+"""Lineage text: files of level-numbered lines."""
 
 from __future__ import annotations
 
@@ -10,6 +10,21 @@ from pyspark.sql import functions as F
 LINE = r"(?s)^([0-9]+) +(?:(@[^ ]*) +([^ ]+)|([^ @][^ ]*))(?: (.*))?$"
 
 
+def resolve_path(spark: SparkSession, path: str | None) -> str | None:
+    """The full name of an input file in any file system Spark reads; an error where it
+    isn't there or is no file."""
+    if path is None:
+        return None
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        raise FileNotFoundError(f"no such input: {path}")
+    status = fs.getFileStatus(at)
+    if not status.isFile():
+        raise ValueError(f"no file: {path}")
+    return status.getPath().toString()
+
+
 def split_rows(text: DataFrame) -> DataFrame:
     """Rows of the text source as ``(file, _block, raw)``: the file and split of each line."""
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.make_valid_utf8("value").alias("raw"))

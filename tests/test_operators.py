@@ -226,6 +226,15 @@ def test_read_lines_in_splits(spark, tmp_path):
     assert got == {(n, i, x) for n, rows in texts.items() for i, x in enumerate(rows, 1) if x.strip()}
 
 
+def test_resolve_path(spark, tmp_path):
+    (tmp_path / "a.ged").write_text("0 HEAD")
+    assert lineage.resolve_path(spark, str(tmp_path / "a.ged")).endswith("/a.ged") and lineage.resolve_path(spark, None) is None
+    with pytest.raises(ValueError):
+        lineage.resolve_path(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        lineage.resolve_path(spark, str(tmp_path / "b.ged"))
+
+
 def test_export_and_back(spark, tmp_path):
     from kinspark.sources import export
 
