@@ -14,6 +14,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.event_survivors(read_table(spark, d, "event_records"))
 
 
+def p1_trusted(spark: SparkSession, d: str) -> DataFrame:
+    """As p1_found, but of equally complete rows the one of higher quality."""
+    return survivor.event_survivors(read_table(spark, d, "event_records"), F.when(F.col("quality").between(0, 3), F.col("quality")))
+
+
 def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivor_records(read_table(spark, d, "event_records"))
 
@@ -61,7 +66,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_survivors": p1_survivors, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_classes": p5_classes,
+    "p1_found": p1_found, "p1_survivors": p1_survivors, "p1_trusted": p1_trusted, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_classes": p5_classes,
     "p8_ids": p8_ids, "p8_lengths": p8_lengths, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
 }
 
@@ -91,7 +96,10 @@ best AS (SELECT g, min(event_id) AS group_id, count(DISTINCT event_id) AS n,
   coalesce(first(event_id ORDER BY ss DESC, updated_at DESC, event_id) FILTER (WHERE ss > 0), -1) AS sources_from
   FROM keyed WHERE g IS NOT NULL GROUP BY g HAVING count(DISTINCT event_id) > 1)"""
 
+_TRUSTED = _EVENTS.replace("updated_at FROM event_records", "updated_at, CASE WHEN quality BETWEEN 0 AND 3 THEN quality END AS q FROM event_records").replace("DESC, updated_at DESC", "DESC, q DESC, updated_at DESC")
+
 ORACLES = {
+    "p1_trusted": f"WITH {_TRUSTED} SELECT group_id, date_from, place_from, sources_from FROM best",
     "p1_found": f"WITH {_EVENTS} SELECT group_id, date_from, place_from, sources_from FROM best",
     "p1_survivors": f"""WITH {_EVENTS}, e AS (SELECT DISTINCT event_id, tag, owner, date_text, place, sources FROM norm)
 SELECT b.group_id, h.owner AS owner_pointer, h.tag, a.date_text, p.place, array_to_string(s.sources, ' ') AS sources FROM best b

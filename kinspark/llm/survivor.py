@@ -85,8 +85,10 @@ def occurrence_key() -> Column:
     return F.when(tag.isin(*ONCE), F.concat_ws("|", tag, owner)).when((tag == "CENS") & year.isNotNull(), F.concat_ws("|", tag, owner, year))
 
 
-def event_survivors(event_records: DataFrame) -> DataFrame:
-    """``(group_id, date_from, place_from, sources_from)`` per occurrence."""
+def event_survivors(event_records: DataFrame, trust: Column | None = None) -> DataFrame:
+    """``(group_id, date_from, place_from, sources_from)`` per occurrence. With ``trust``
+    the more trusted of equally complete rows goes before the later one; a null is the
+    least trusted."""
     rows = event_records.filter(normalize_pointer(F.col("owner_pointer")).isNotNull()).select(
         "event_id",
         occurrence_key().alias("g"),
@@ -94,8 +96,9 @@ def event_survivors(event_records: DataFrame) -> DataFrame:
         place_completeness(F.col("place")).alias("p"),
         source_completeness(F.col("sources")).alias("s"),
         "updated_at",
+        (trust if trust is not None else F.lit(0)).cast("long").alias("t"),
     )
-    return best_rows(rows, "g", "event_id", {"date": F.col("d"), "place": F.col("p"), "sources": F.col("s")}, "updated_at")
+    return best_rows(rows, "g", "event_id", {"date": F.col("d"), "place": F.col("p"), "sources": F.col("s")}, "updated_at", None if trust is None else F.col("t"))
 
 
 def survivor_records(event_records: DataFrame) -> DataFrame:
