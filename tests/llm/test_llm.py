@@ -115,7 +115,7 @@ def test_canonical_deep_list_and_long_names(spark):
     assert {r["name"]: len(r["ups"]) for r in canonical.place_entries(ref).filter("ref_id = 'p5' or ref_id like 'x%'").collect()} == {"ftown": 5, "loop": 1, "ring": 1}
     occ = spark.createDataFrame([("o1", "keeper of the royal stag hounds", None), ("o2", "keeper", None)], "occupation_id string, label string, alt_labels array<string>")
     t = datetime.datetime(2020, 1, 1)
-    typed = ["Ftown, Aland", "Ftown, Other", "great upper st mary on weir", "Loop"]
+    typed = ["Ftown, Aland", "ftown, Other", "great upper st mary on weir", "Loop"]
     ev = events(spark, [(i, "@I1@", "BIRT", None, p, None, t, t) for i, p in enumerate(typed)]).selectExpr("*", "cast(null as string) value_text")
     occu = events(spark, [(9, "@I1@", "OCCU", None, None, None, t, t)]).selectExpr("*", "'once Keeper of the royal stag hounds' value_text")
     got = {(r["event_id"], r["ref_id"]) for r in canonical.canonical_values(ev.unionByName(occu), ref, occ).collect()}
