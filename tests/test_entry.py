@@ -6,8 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SLOW = {"p4_report", "p10_shares", "lines_round_trip", "person_scores", "score_summary"}
-WITH_SQL = sorted(set(entry.oracle_sql()) - SLOW)
+WITH_SQL = sorted(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
