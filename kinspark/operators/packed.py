@@ -217,13 +217,16 @@ class Batch:
         self.end = whole("ends")[1]
         sizes, at = whole("sizes")[1], whole("at")
         self.poff, letters = whole("letters")
-        self.parts = _flat(batch, "parts")[1]
         self.text = np.repeat(np.arange(self.rows), np.diff(self.eoff))  # of each edge
         self.edge = np.repeat(np.arange(len(sizes)), sizes)  # of each part in an edge
         self.part = at[1] + np.repeat(self.poff[:-1], np.diff(at[0]))
-        lp = new - 2.0 - _CHAR_COST * letters
-        off, known = _flat(batch, "e")
-        lp[np.repeat(self.poff[:-1], np.diff(off)) + known.field("k").to_numpy(zero_copy_only=False)] = known.field("lp").to_numpy(zero_copy_only=False)
+        # The parts come in any order, each with its number in its text.
+        off, e = _flat(batch, "e")
+        place = np.empty(len(letters), np.int64)
+        place[np.repeat(self.poff[:-1], np.diff(off)) + e.field("k").to_numpy(zero_copy_only=False)] = np.arange(len(e))
+        self.parts = e.field("part").take(pa.array(place))
+        lp = e.field("lp").to_numpy(zero_copy_only=False)[place]
+        lp = np.where(np.isnan(lp), new - 2.0 - _CHAR_COST * letters, lp)
         what = pc.utf8_slice_codeunits(self.parts, 0, 1)
         sums = {}
         for kind in "ths":
@@ -332,15 +335,16 @@ def _listed(distinct: DataFrame, known: DataFrame) -> DataFrame:
     return durable(plain.join(every, "text", "left_semi").join(alone, "text", "left_semi"))
 
 
-def _scored(open_texts: DataFrame, known: DataFrame) -> tuple[DataFrame, float]:
-    """The texts with the log probabilities of those of their parts that are known, and
-    the log mass of parts never seen (that of the parts seen once)."""
+def _scored(open_texts: DataFrame, known: DataFrame, drop: tuple[str, ...] = ()) -> tuple[DataFrame, float]:
+    """The lattices with their parts and the log probabilities of those that are known,
+    and the log mass of parts never seen (that of the parts seen once)."""
     size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
     total, once = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
     lp = F.log("c") - F.lit(math.log(total + once))
     rows = open_texts.select("id", F.posexplode("parts").alias("k", "part"))
-    of_text = rows.join(known, "part").select("id", F.struct("k", lp.alias("lp")).alias("e")).groupBy("id").agg(F.collect_list("e").alias("e"))
-    return open_texts.join(of_text, "id", "left"), math.log(once) - math.log(total + once)
+    of_text = rows.join(known, "part", "left").groupBy("id").agg(F.collect_list(F.struct("k", "part", lp.alias("lp"))).alias("e"))
+    # The text and its parts don't travel twice.
+    return open_texts.drop("parts", *drop).join(of_text, "id", "left"), math.log(once) - math.log(total + once)
 
 
 def _counted(distinct: DataFrame) -> DataFrame:
@@ -374,7 +378,7 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
     cut = {k: (math.log(0.5), math.log(0.5)) for k in KINDS}
     before = None
     for at in range(MAX_ROUNDS):
-        scored, new = _scored(open_texts, known)
+        scored, new = _scored(open_texts, known, ("text", "levels"))
         seen = scored.mapInArrow(_expect(new, cut), "what string, part string, c double, texts bigint")
         got = durable(seen.groupBy("what", "part").agg(F.sum("c").alias("c"), F.sum("texts").alias("texts")))
         rate = {(r["what"], r["part"]): r["c"] for r in got.filter("what <> 'v'").collect()}  # two rows per kind of delimiter

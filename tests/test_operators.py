@@ -130,9 +130,11 @@ def test_lattice_sums_against_all_ways():
     texts = ["".join(r.choice(["Oak", "Elm, Ash", '"Fir; Yew"', "St X"]) + r.choice(["; ", " / ", " & ", "|", ", "]) for _ in range(r.randint(1, 6))) + "Larch" for _ in range(40)] + ["Oak", '"a;b"']
     rows = [packed.lattice(t, i % 3 == 0) for i, t in enumerate(texts)]
     known = [{k: -r.random() * 5 for k in range(len(x[6])) if r.random() < 0.5} for x in rows]
-    e = pa.array([[{"k": k, "lp": v} for k, v in d.items()] or None for d in known], pa.list_(pa.struct([("k", pa.int32()), ("lp", pa.float64())])))
-    columns = [pa.array(c, packed._LATTICE.field(n).type) for n, c in zip(packed._LATTICE.names[3:], zip(*rows))]
-    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), *columns, e], names=["n", *packed._LATTICE.names[3:], "e"])
+    e = pa.array([r.sample(own, len(own)) for own in ([{"k": k, "part": p, "lp": d.get(k)} for k, p in enumerate(x[6])] for x, d in zip(rows, known))], pa.list_(pa.struct([("k", pa.int32()), ("part", pa.string()), ("lp", pa.float64())])))
+    names = packed._LATTICE.names[3:-1]
+    columns = [pa.array(c, packed._LATTICE.field(n).type) for n, c in zip(names, zip(*rows))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), *columns, e], names=["n", *names, "e"])
+    assert packed.Batch(batch, -9.0, cut).parts.to_pylist() == [p for x in rows for p in x[6]]
     b = packed.Batch(batch, -9.0, cut)
     got = b.posteriors()
     for t in range(len(texts)):
