@@ -64,12 +64,13 @@ def bigrams(c: Column) -> Column:
     return F.array_distinct(F.flatten(grams))
 
 
-def signature(g: Column) -> list[Column]:
-    """The set as bits m0, m1, ...: a quick bound on what two sets can share."""
+def signature(bits: Column) -> list[Column]:
+    """A set of numbers below 64 * MASKS as words m0, m1, ...: a quick bound on what two
+    sets can share."""
 
     def mask(i: int) -> Column:
-        own = F.filter(g, lambda t: F.pmod(F.xxhash64(t), F.lit(64 * MASKS)).between(64 * i, 64 * i + 63))
-        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+        own = F.filter(bits, lambda b: (b >= 64 * i) & (b < 64 * (i + 1)))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (b - 64 * i).cast("int"))))
 
     return [mask(i).alias(f"m{i}") for i in range(MASKS)]
 
@@ -87,7 +88,7 @@ def similar(parts: DataFrame, names: DataFrame, least: float = JACCARD) -> DataF
     """``(part, name, sim)`` for all pairs of a part and a name with a Jaccard
     similarity of ``least`` or more. ``parts``: ``(part)``, ``names``: ``(name)``."""
     p = parts.select("part").distinct().withColumn("g", bigrams(F.col("part")))
-    n = names.select("name").distinct().withColumn("g", bigrams(F.col("name")))
+    n = durable(names.select("name").distinct().withColumn("g", bigrams(F.col("name"))))
     # Rare in the list first, then in the column: the shortest postings are joined.
     both = p.select(F.explode("g").alias("t"), F.lit(0).alias("in_list")).unionByName(n.select(F.explode("g").alias("t"), F.lit(1).alias("in_list")))
     rarity = durable(both.groupBy("t").agg(F.struct(F.sum("in_list").alias("a"), F.count("*").alias("b")).alias("df")))
@@ -102,7 +103,8 @@ def similar(parts: DataFrame, names: DataFrame, least: float = JACCARD) -> DataF
             .agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("s"))
         )
         keep = F.col("size") - F.ceil(F.lit(least) * F.col("size")).cast("int") + 1
-        marked = ranked.select(key, "size", "s", *signature(F.transform("s", lambda x: x["t"])))
+        bits = ranked.select(key, "size", "s", F.transform("s", lambda x: F.pmod(F.xxhash64(x["t"]), F.lit(64 * MASKS))).alias("bits"))
+        marked = bits.select(key, "size", "s", *signature(F.col("bits")))
         marked = marked.withColumn("spare", F.col("size") - sum(F.bit_count(f"m{i}") for i in range(MASKS)))
         cols = [key, "size", "spare", *[f"m{i}" for i in range(MASKS)]]
         return marked.select(*cols, F.posexplode(F.slice("s", F.lit(1), keep)).alias("at", "x")).select(*cols, "at", F.col("x.t").alias("t"))
@@ -120,7 +122,8 @@ def similar(parts: DataFrame, names: DataFrame, least: float = JACCARD) -> DataF
     cheap = (short >= F.lit(least) * long) & (most >= need - 1e-9) & (shared >= need - 1e-9)
     # Written, so that the exact similarity isn't pushed below the join.
     found = durable(a.join(b, "t").filter(cheap).select("part", "name").distinct())
-    return found.withColumn("sim", jaccard(bigrams(F.col("part")), bigrams(F.col("name")))).filter(F.col("sim") >= least)
+    sims = found.join(n.withColumnRenamed("g", "g_b"), "name").select("part", "name", jaccard(bigrams(F.col("part")), F.col("g_b")).alias("sim"))
+    return sims.filter(F.col("sim") >= least)
 
 
 def few_edits(a: Column, b: Column) -> Column:
