@@ -48,7 +48,7 @@ def _walk(walks: DataFrame, stops: DataFrame, is_stop: Column, max_rounds: int)
         seg = F.concat("seg", "seg2")
         walks = (
             active.drop("status")
-            .join(onward, "cur")
+            .join(onward.hint("merge"), "cur")  # a broadcast would keep the partitions of the union, which double every round
             .select(
                 "node",
                 F.col("cur2").alias("cur"),
