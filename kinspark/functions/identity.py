@@ -13,6 +13,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGE, "")
 
 
+def filled(c: Column) -> Column:
+    """Whether strip() leaves anything; a search that ends at the first such character."""
+    return c.rlike(r"[^\s\p{Z}\x{FEFF}]")
+
+
 def blank_to_null(c: Column) -> Column:
     """Trimmed text, null when nothing is left."""
     return F.nullif(strip(c), F.lit(""))

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinspark.functions.identity import strip
+from kinspark.functions.identity import filled, strip
 from kinspark.session import durable
 
 #: The expectation ends when no kind's rate and no such part of all counts changes more.
@@ -335,11 +335,18 @@ def _listed(distinct: DataFrame, known: DataFrame) -> DataFrame:
     return durable(plain.join(every, "text", "left_semi").join(alone, "text", "left_semi"))
 
 
-def _scored(open_texts: DataFrame, known: DataFrame, drop: tuple[str, ...] = ()) -> tuple[DataFrame, float]:
-    """The lattices with their parts and the log probabilities of those that are known,
-    and the log mass of parts never seen (that of the parts seen once)."""
+def _sizes(known: DataFrame) -> tuple[float, int]:
+    """The sum of the counts, and how many parts are seen once."""
     size = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") < 1.5).alias("once")).first()
-    total, once = float(size["n"] or 0.0) + 1.0, float(size["once"]) + 1.0
+    return float(size["n"] or 0.0), size["once"]
+
+
+def _scored(open_texts: DataFrame, known: DataFrame, beside: tuple[float, int], drop: tuple[str, ...] = ()) -> tuple[DataFrame, float]:
+    """The lattices with their parts and the log probabilities of those that are known,
+    and the log mass of parts never seen (that of the parts seen once). ``beside``:
+    the sizes of what is known of parts that no lattice has."""
+    size = _sizes(known)
+    total, once = size[0] + beside[0] + 1.0, float(size[1] + beside[1]) + 1.0
     lp = F.log("c") - F.lit(math.log(total + once))
     rows = open_texts.select("id", F.posexplode("parts").alias("k", "part"))
     of_text = rows.join(known, "part", "left").groupBy("id").agg(F.collect_list(F.struct("k", "part", lp.alias("lp"))).alias("e"))
@@ -359,14 +366,24 @@ def _moved(before: DataFrame, after: DataFrame) -> float:
     return (r["d"] or 0.0) / (r["c"] or 1.0)
 
 
-def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
-    """``(text, vals)`` of every distinct text that could hold several values;
-    ``vals`` has one entry where it turns out to hold one."""
-    distinct = texts.filter(strip(F.col(col)) != "").groupBy(F.col(col).alias("text")).agg(F.count("*").alias("n"))
+def counted_texts(texts: DataFrame, col: str = "text") -> DataFrame:
+    """``(text, n, hint, parts, id)`` of every distinct text that isn't blank: the rows
+    that have it, whether it could hold a delimiter and, if not, its parts."""
+    distinct = texts.filter(filled(F.col(col))).groupBy(F.col(col).alias("text")).agg(F.count("*").alias("n"))
     hint = F.col("text").rlike(HINT)
     distinct = distinct.withColumn("hint", hint).withColumn("parts", F.when(~F.col("hint"), _plain_parts(F.col("text"))))
     # Written once, so the ids stay what they are.
-    distinct = durable(distinct.withColumn("id", F.monotonically_increasing_id()))
+    return durable(distinct.withColumn("id", F.monotonically_increasing_id()))
+
+
+def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
+    """``(text, vals)`` of every distinct text that could hold several values;
+    ``vals`` has one entry where it turns out to hold one."""
+    return packed_of(counted_texts(texts, col))
+
+
+def packed_of(distinct: DataFrame) -> DataFrame:
+    """packed_texts() of what counted_texts() gives."""
     plain = _counted(distinct.filter("not hint"))
 
     def lattice_of(some: DataFrame, levels: bool) -> DataFrame:
@@ -376,9 +393,9 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
     open_texts = lattice_of(distinct.filter("hint"), False)
     known = plain
     cut = {k: (math.log(0.5), math.log(0.5)) for k in KINDS}
-    before = None
+    before, beside = None, (0.0, 0)
     for at in range(MAX_ROUNDS):
-        scored, new = _scored(open_texts, known, ("text", "levels"))
+        scored, new = _scored(open_texts, known, beside, ("text", "levels"))
         seen = scored.mapInArrow(_expect(new, cut), "what string, part string, c double, texts bigint")
         got = durable(seen.groupBy("what", "part").agg(F.sum("c").alias("c"), F.sum("texts").alias("texts")))
         rate = {(r["what"], r["part"]): r["c"] for r in got.filter("what <> 'v'").collect()}  # two rows per kind of delimiter
@@ -394,6 +411,11 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
             open_texts = open_texts.unionByName(lattice_of(listed, True))
             lost = listed.select((-F.col("n")).alias("n"), F.explode("parts").alias("part")).groupBy("part").agg(F.sum("n").cast("double").alias("c"))
             plain = durable(plain.unionByName(lost).groupBy("part").agg(F.sum("c").alias("c")).filter("c > 0"))
+            # Of parts that no lattice has, which stay as they are, only the sizes matter.
+            every = _sizes(plain)
+            plain = durable(plain.join(open_texts.select(F.explode("parts").alias("part")).distinct(), "part", "left_semi"))
+            own = _sizes(plain)
+            beside = every[0] - own[0], every[1] - own[1]
         # What a single text alone supports is no evidence for that text.
         known = durable(
             plain.withColumn("texts", F.lit(2))
@@ -409,7 +431,7 @@ def packed_texts(texts: DataFrame, col: str = "text") -> DataFrame:
         before = values
     else:
         raise RuntimeError(f"the rates of delimiters did not settle in {MAX_ROUNDS} rounds")
-    scored, new = _scored(open_texts, known)
+    scored, new = _scored(open_texts, known, beside)
     return durable(scored.mapInArrow(_decide(new, cut), "text string, vals array<string>"))
 
 

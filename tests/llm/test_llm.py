@@ -107,6 +107,52 @@ def test_canonical(spark):
     assert {r["ref_id"] for r in canonical.canonical_values(ev, ref.limit(0), occ).collect()} == {"none"}
 
 
+def test_similar_pairs_that_few_edits_tell_apart(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcd") for _ in range(r.randint(1, 6)))
+    names = {" ".join(word() for _ in range(r.randint(1, 3))) for _ in range(60)}
+    parts = {" ".join(r.sample(w := n.split(), len(w)))[r.randint(0, 1) :].strip() + r.choice(["", "", "a", "x"]) for n in names} | {"", "a", "d  a"}
+    frame = lambda xs, c: spark.createDataFrame([(x,) for x in xs], f"{c} string")
+    rows = lambda df: {(x["part"], x["name"], round(x["sim"], 9)) for x in df.collect()}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def few(a, b):
+        most, in_order = max(1, int(max(len(a), len(b)) * canonical.EDITS)), lambda x: " ".join(sorted(x.split(" ")))
+        return edits(a, b) <= most or edits(in_order(a), in_order(b)) <= most
+
+    every = rows(canonical.similar(frame(parts, "part"), frame(names, "name")))
+    grams = lambda w: {g for x in w.split() for g in [f"^{x}$"[i : i + 2] for i in range(len(x) + 1)]}
+    sims = {(p, n, round(len(grams(p) & grams(n)) / len(grams(p) | grams(n)), 9)) for p in parts for n in names}
+    assert every == {x for x in sims if x[2] >= canonical.JACCARD} and len(every) > 100
+    got = rows(canonical.similar(frame(parts, "part"), frame(names, "name"), also=canonical.few_edits))
+    assert got == {x for x in every if few(x[0], x[1])} and 40 < len(got) < len(every)
+
+
+def test_canonical_reads_its_events_three_times(spark):
+    ref = spark.createDataFrame([("p1", "Aland", None, "Aland", None)], "place_id string, place_name string, parent_id string, full_name string, alt_names array<string>")
+    occ = spark.createDataFrame([("o1", "cooper", None)], "occupation_id string, label string, alt_labels array<string>")
+    t = datetime.datetime(2020, 1, 1)
+    rows = [(i, "@I1@", "\u00a0occu ", None, p, None, t, t) for i, p in enumerate(["alandd", "\u00a0\ufeff", " ", "Aland", "St Zzyx near Aland"])]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    ev = events(spark, rows).selectExpr("*", "if(event_id = 1, '\u00a0', 'coper') value_text")
+    got = {tuple(x) for x in canonical.canonical_values(ev.mapInArrow(counted, ev.schema), ref, occ).collect()}
+    assert got == {(0, "place", "p1"), (4, "place", "p1"), *((i, "value_text", "o1") for i in (0, 2, 3, 4))}
+    assert seen.value <= 3 * len(rows)
+
+
 def test_canonical_deep_list_and_long_names(spark):
     levels = ["Aland", "Bprov", "Ccounty", "Dhundred", "Eparish", "Ftown"]
     rows = [(f"p{i}", n, f"p{i - 1}" if i else None, ", ".join(reversed(levels[: i + 1])), None) for i, n in enumerate(levels)]
